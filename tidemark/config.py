@@ -111,7 +111,7 @@ class Settings:
     column_sample: float = 0.85
     seed: int = 42
     max_bins: int = 256
-    fit_partitions: int | None = None  # None: the session's shuffle partitions
+    fit_partitions: int | None = None  # None: by row count, at least the shuffle partitions
 
     # identity
     model_name: str = "XGBoost_MultiClient_Forecast_Analysis"

@@ -75,14 +75,6 @@ def hours_between(start: Column, end: Column, dtype: T.DataType) -> Column:
     return seconds / F.lit(3600.0)
 
 
-def median_of_sorted(values: Column) -> Column:
-    """Median of an ascending array, NULL when it is empty."""
-    size = F.size(values)
-    lower = F.get(values, F.floor((size - 1) / 2).cast("int"))
-    upper = F.get(values, F.floor(size / 2).cast("int"))
-    return F.when(size > 0, (lower + upper) / F.lit(2.0))
-
-
-def only_row(df: DataFrame) -> Column:
-    """A one-row frame as a struct value: one scalar subquery however often it is used."""
-    return df.select(F.struct(*df.columns).alias("row")).scalar()
+def with_row(df: DataFrame, row: DataFrame, name: str) -> DataFrame:
+    """Attach a one-row frame as a struct column through one scalar subquery, not a join."""
+    return df.withColumn(name, row.select(F.struct(*row.columns).alias("row")).scalar())

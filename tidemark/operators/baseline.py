@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.config import ACTUAL, BASELINE, CLIENT, DATE, Settings
-from tidemark.functions.expressions import median_of_sorted
 
 
 def rolling_baseline(client_days: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -20,9 +19,4 @@ def rolling_baseline(client_days: DataFrame, settings: Settings = Settings()) ->
         .orderBy(F.unix_date(DATE))
         .rangeBetween(-settings.baseline_window_days, -1)
     )
-    recent = "_recent_volumes"
-    return (
-        client_days.withColumn(recent, F.sort_array(F.collect_list(ACTUAL).over(frame)))
-        .withColumn(BASELINE, median_of_sorted(F.col(recent)))
-        .drop(recent)
-    )
+    return client_days.withColumn(BASELINE, F.percentile(ACTUAL, F.lit(0.5)).over(frame))

@@ -17,7 +17,7 @@ from tidemark.config import (
     ZONE_WARNING,
     Settings,
 )
-from tidemark.functions.expressions import deviation_signal, only_row, smape
+from tidemark.functions.expressions import deviation_signal, smape, with_row
 from tidemark.functions.quantiles import exact_quantiles
 from tidemark.operators.model import PREDICTED_VOLUME
 
@@ -55,17 +55,17 @@ def label_cohorts(
     that ties both signal cuts is unpredictable.
     """
     cutpoints = cohort_cutpoints(df, settings) if cutpoints is None else cutpoints
-    cuts = only_row(cutpoints)
-    high_volume, low_volume, erratic, steady = [cuts[cut] for cut in CUTS]
     flagged = F.coalesce(F.col("is_china"), F.lit(0)) > 0 if "is_china" in df.columns else F.lit(False)
+    high_volume, low_volume, erratic, steady = [F.col(f"_cuts.{cut}") for cut in CUTS]
     large = _volume() >= high_volume
-    return df.withColumn(
+    labelled = with_row(df, cutpoints, "_cuts").withColumn(
         "archetype",
         F.when(_volume() <= low_volume, PHANTOMS)
         .when(large & ((_signal() >= erratic) | flagged), SPIKERS)
         .when(large & (_signal() <= steady) & ~flagged, ANCHORS)
         .otherwise(DIALS),
     )
+    return labelled.drop("_cuts")
 
 
 def cohort_daily(labelled: DataFrame, date: str = DATE) -> DataFrame:

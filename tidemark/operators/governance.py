@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.config import OVERALL_BREACH, Settings
-from tidemark.functions.expressions import hours_between, only_row
+from tidemark.functions.expressions import hours_between, with_row
 from tidemark.operators.cohorts import soft_reason
 
 GATES = ("baseline_speed_pass", "evaluation_speed_pass", "artifact_completeness_pass")
@@ -75,30 +75,28 @@ def decide_promotion(
     mode = mode.strip().lower()
     if mode not in RUN_MODES:
         raise ValueError(f"Run mode must be one of {RUN_MODES}.")
-    accuracy, gate = only_row(evaluation), only_row(verdict)
-    figures = {name: accuracy[name] for name in evaluation.columns}
-    cohorts_pass = gate["cohorts_pass"]
-    judged = gated.withColumns(
-        figures
-        | {
-            "cohorts_pass": cohorts_pass,
-            "quality_pass": F.coalesce(
-                cohorts_pass & (figures["test_smape_volume"] <= settings.max_smape), F.lit(False)
-            ),
+    figures = {name: F.col(f"_accuracy.{name}") for name in evaluation.columns}
+    quality = F.col("_gate.cohorts_pass") & (F.col("test_smape_volume") <= settings.max_smape)
+    attached = with_row(with_row(gated, evaluation, "_accuracy"), verdict, "_gate")
+    judged = attached.withColumns(figures).withColumns(
+        {
+            "cohorts_pass": F.col("_gate.cohorts_pass"),
+            "quality_pass": F.coalesce(quality, F.lit(False)),
         }
     )
     quality = F.col("quality_pass")
-    return judged.withColumns(
+    decided = judged.withColumns(
         {
             "promotion_recommendation": quality
             & F.col("process_pass")
             & F.lit(mode == "production"),
             "promotion_block_reason": F.coalesce(
-                gate["block_reason"],
+                F.col("_gate.block_reason"),
                 F.when(~quality, OVERALL_BREACH),
-                F.when(gate["deviation_warning"], soft_reason(settings)),
+                F.when(F.col("_gate.deviation_warning"), soft_reason(settings)),
             ),
             "is_blocking": ~quality,
             "run_mode": F.lit(mode),
         }
     )
+    return decided.drop("_accuracy", "_gate")

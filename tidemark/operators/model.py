@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -15,6 +16,7 @@ from tidemark.operators.features import restore_volume
 VECTOR = "features"
 PREDICTED_LOG = "pred_log"
 PREDICTED_VOLUME = "pred_volume"
+ROWS_PER_PARTITION = 500_000
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
@@ -60,23 +62,32 @@ def regressor(settings: Settings = Settings()):
     )
 
 
+def _partitions(train: DataFrame, settings: Settings) -> int:
+    """A partition count that follows the data, not how it happened to be read."""
+    if settings.fit_partitions:
+        return settings.fit_partitions
+    configured = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(configured, math.ceil(train.count() / ROWS_PER_PARTITION))
+
+
 def _training_layout(train: DataFrame, features: Sequence[str], settings: Settings) -> DataFrame:
-    """Only the fitted columns, in partitions that do not depend on how they were read.
+    """Only the fitted columns, spread evenly and ordered the same way on every run.
 
     Row sampling follows the partitioning, so the layout fixes it: hashing the unique
     (client, day) key spreads even one dominant client over all partitions.
     """
-    partitions = settings.fit_partitions or int(
-        train.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    )
     keyed = train.select(CLIENT, DATE, TARGET, *features)
-    return keyed.repartition(partitions, CLIENT, DATE).sortWithinPartitions(CLIENT, DATE)
+    spread = keyed.repartition(_partitions(train, settings), CLIENT, DATE)
+    return spread.sortWithinPartitions(CLIENT, DATE)
 
 
 def fit_forecaster(
     train: DataFrame, features: Sequence[str], settings: Settings = Settings()
 ) -> PipelineModel:
-    """Fit on the training part; flags must be filled (see ``fill_flags``)."""
+    """Fit on the training part, which is counted first: pass a stage table's rows.
+
+    Flags must be filled (see ``fill_flags``).
+    """
     pipeline = Pipeline(stages=[assembler(features), regressor(settings)])
     return pipeline.fit(_training_layout(train, features, settings))
 

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.config import DATE, Settings
-from tidemark.functions.expressions import only_row
+from tidemark.config import CLIENT, DATE, Settings
+from tidemark.functions.expressions import with_row
 
 PARTS = ("train", "val", "test")
 
@@ -25,13 +25,14 @@ def label_split(
 ) -> DataFrame:
     """Add ``split``; the bounds enter the plan as a scalar subquery, nothing is joined."""
     bounds = split_bounds(df, settings, date) if bounds is None else bounds
-    limits = only_row(bounds)
-    val_start, test_start = limits["val_start"], limits["test_start"]
     day = F.col(date)
-    return df.withColumn(
+    labelled = with_row(df, bounds, "_bounds").withColumn(
         "split",
-        F.when(day < val_start, "train").when(day < test_start, "val").when(day >= test_start, "test"),
+        F.when(day < F.col("_bounds.val_start"), "train")
+        .when(day < F.col("_bounds.test_start"), "val")
+        .when(day >= F.col("_bounds.test_start"), "test"),
     )
+    return labelled.drop("_bounds")
 
 
 def split_counts(labelled: DataFrame) -> DataFrame:
@@ -50,5 +51,8 @@ def require_all_parts(labelled: DataFrame) -> dict[str, int]:
 
 
 def in_date_order(df: DataFrame, date: str = DATE) -> DataFrame:
-    """Global date order, for presentation only: no operator depends on it."""
-    return df.orderBy(date)
+    """Global date order, for presentation only: no operator depends on it.
+
+    The client breaks ties, so that a day with very many rows is sorted by several tasks.
+    """
+    return df.orderBy(date, CLIENT)

@@ -113,11 +113,12 @@ runs AS (
   FROM events GROUP BY user_id, CAST(ts AS DATE)),
 timed AS (
   SELECT *,
-    (epoch_us(baseline_ready) - epoch_us(experiment_start)) / 3600000000.0 AS hours_to_baseline,
-    (epoch_us(evaluation_complete) - epoch_us(experiment_start)) / 3600000000.0
-      AS hours_to_evaluation,
-    (epoch_us(drift_detected_at) - epoch_us(experiment_start)) / 3600000000.0
-      AS drift_latency_hours,
+    CAST(epoch_us(baseline_ready) - epoch_us(experiment_start) AS DOUBLE)
+      / CAST(1000000 AS DOUBLE) / CAST(3600 AS DOUBLE) AS hours_to_baseline,
+    CAST(epoch_us(evaluation_complete) - epoch_us(experiment_start) AS DOUBLE)
+      / CAST(1000000 AS DOUBLE) / CAST(3600 AS DOUBLE) AS hours_to_evaluation,
+    CAST(epoch_us(drift_detected_at) - epoch_us(experiment_start) AS DOUBLE)
+      / CAST(1000000 AS DOUBLE) / CAST(3600 AS DOUBLE) AS drift_latency_hours,
     CAST(CASE WHEN artifacts_complete THEN 1 ELSE 0 END AS DOUBLE) AS artifact_completeness
   FROM runs),
 gated AS (
@@ -179,10 +180,10 @@ _LEDGER = """SELECT archetype, row_count, round(business_smape, 6) AS business_s
 _REFINED = f"SELECT {_CANONICAL}, {_DAY_EVENTS} FROM refined"
 
 _METRICS = {
-    "val_smape_target": "val_smape_target",
-    "test_smape_target": "test_smape_target",
-    "val_smape_volume": "val_smape_volume",
-    "test_smape_volume": "test_smape_volume",
+    "val_smape_target": "round(val_smape_target, 6)",
+    "test_smape_target": "round(test_smape_target, 6)",
+    "val_smape_volume": "round(val_smape_volume, 6)",
+    "test_smape_volume": "round(test_smape_volume, 6)",
     "cmmi_hours_to_baseline": "hours_to_baseline",
     "cmmi_hours_to_evaluation": "hours_to_evaluation",
     "cmmi_artifact_completeness": "artifact_completeness",
@@ -361,17 +362,16 @@ _SELECTS = {
     "promotion_decision": """SELECT run_id, cohorts_pass, quality_pass, process_pass,
         promotion_recommendation, promotion_block_reason, NOT quality_pass AS is_blocking
         FROM decided""",
-    "run_hours": """SELECT run_id, round(hours_to_baseline, 6) AS hours_to_baseline,
-        round(hours_to_evaluation, 6) AS hours_to_evaluation, artifact_completeness FROM timed""",
+    "run_hours": """SELECT run_id, hours_to_baseline, hours_to_evaluation, artifact_completeness
+        FROM timed""",
     "run_gates": """SELECT run_id, baseline_speed_pass, evaluation_speed_pass,
         artifact_completeness_pass, process_pass FROM gated""",
     "promotion_rate": """SELECT count(*) AS run_count,
         round(avg(CASE WHEN promoted THEN 1.0 ELSE 0.0 END), 9) AS promotion_rate FROM runs""",
-    "drift_latency": """SELECT run_id, round(drift_latency_hours, 6) AS drift_latency_hours
-        FROM timed""",
+    "drift_latency": """SELECT run_id, drift_latency_hours FROM timed""",
     "run_metrics_long": _union(
-        [f"SELECT run_id, '{key}' AS key, round({column}, 6) AS value FROM decided"
-         for key, column in _METRICS.items()]
+        [f"SELECT run_id, '{key}' AS key, {value} AS value FROM decided"
+         for key, value in _METRICS.items()]
     ),
     "run_params_long": _union(
         [f"SELECT run_id, '{key}' AS key, {value} AS value FROM decided"
@@ -384,7 +384,7 @@ _SELECTS = {
         round(val_smape_target, 6) AS val_smape_target,
         round(test_smape_volume, 6) AS test_smape_volume,
         round(val_smape_volume, 6) AS val_smape_volume,
-        round(hours_to_baseline, 6) AS hours_to_baseline,
+        hours_to_baseline,
         CAST(12 AS DOUBLE) AS max_evaluation_hours, 4 AS cohort_count,
         (SELECT row_count FROM ledger WHERE ordinal = 0) AS anchor_rows,
         coalesce(promotion_block_reason, 'None') AS promotion_block_reason,

@@ -292,10 +292,9 @@ def gate_verdict(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_hours(spark: SparkSession, folder: str) -> DataFrame:
-    timed = governance.run_hours(event_runs(spark, folder, SETTINGS)).select(
+    return governance.run_hours(event_runs(spark, folder, SETTINGS)).select(
         "run_id", "hours_to_baseline", "hours_to_evaluation", "artifact_completeness"
     )
-    return _rounded(timed, ["hours_to_baseline", "hours_to_evaluation"], 6)
 
 
 def run_gates(spark: SparkSession, folder: str) -> DataFrame:
@@ -309,7 +308,7 @@ def promotion_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 def drift_latency(spark: SparkSession, folder: str) -> DataFrame:
     runs = governance.drift_latency(event_runs(spark, folder, SETTINGS), "experiment_start")
-    return _rounded(runs.select("run_id", "drift_latency_hours"), ["drift_latency_hours"], 6)
+    return runs.select("run_id", "drift_latency_hours")
 
 
 def promotion_decision(spark: SparkSession, folder: str) -> DataFrame:
@@ -328,7 +327,9 @@ def run_metrics_long(spark: SparkSession, folder: str) -> DataFrame:
     path = stage_path(spark, "run-metrics")
     records = run_metrics(_decided(spark, folder)[0])
     append_records(records, path)
-    return _rounded(spark.read.schema(records.schema).parquet(path), ["value"], 6)
+    stored = spark.read.schema(records.schema).parquet(path)
+    shown = F.when(F.col("key").contains("smape"), F.round("value", 6)).otherwise(F.col("value"))
+    return stored.withColumn("value", shown)
 
 
 def run_params_long(spark: SparkSession, folder: str) -> DataFrame:
@@ -355,7 +356,7 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
         F.col("executive_summary.run_id").alias("run_id"),
         F.col("executive_summary.recommendation").alias("recommendation"),
         *[performance(name) for name in report.PERFORMANCE],
-        F.round("key_metrics.cmmi.cmmi_hours_to_baseline", 6).alias("hours_to_baseline"),
+        F.col("key_metrics.cmmi.cmmi_hours_to_baseline").alias("hours_to_baseline"),
         F.col("key_metrics.thresholds.cmmi_max_evaluation_hours").alias("max_evaluation_hours"),
         F.size("operational_archetype_briefing").alias("cohort_count"),
         F.col("operational_archetype_briefing")[0]["row_count"].alias("anchor_rows"),
