@@ -23,7 +23,7 @@ def _both(df, accuracy):
 
 
 @settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 @given(st.lists(st.floats(-1e6, 1e6).map(lambda x: round(x, 2)), min_size=1, max_size=60))
 def test_any_values(spark, values):

@@ -89,6 +89,9 @@ def test_date_and_number_coercion(spark):
         ("", "", None, None),
         (None, None, None, None),
         ("soon", "1,000", None, None),
+        ("2026", "-Inf", date(2026, 1, 1), float("-inf")),
+        ("2026-01-02", "0x1p3", date(2026, 1, 2), None),
+        ("2026-01-02", "3F", date(2026, 1, 2), None),
     ]
     df = spark.createDataFrame(
         [(i, d, v, "20") for i, (d, v, _, _) in enumerate(texts)],

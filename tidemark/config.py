@@ -114,7 +114,7 @@ class Settings:
     fit_partitions: int | None = None  # None: by row count, at least the shuffle partitions
 
     # identity
-    model_name: str = "XGBoost_MultiClient_Forecast_Analysis"
+    model_name: str = "multi_client_uplift_trees"
     dataset_version: str = "v1"
 
     def snapshot(self) -> dict[str, float]:

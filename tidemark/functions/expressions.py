@@ -5,23 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 SMAPE_EPSILON = 1e-9
-# Spark's double cast also accepts Java suffixes such as "12d"; only plain decimal
-# notation and infinities count as numbers here.
-_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
+
+
+# Texts the JVM reads as doubles but that are no number in a table: "nan", "0x1p3", "12d".
+_NO_NUMBER = r"(?i)nan|0x|[\d.][df]$"
 
 
 def safe_double(column: Column, dtype: T.DataType) -> Column:
     """Number or NULL: unparsable text and NaN both become NULL."""
-    if isinstance(dtype, T.NumericType):
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
         number = column.cast("double")
-    elif isinstance(dtype, T.BooleanType):
+        return F.when(~F.isnan(number), number)
+    if isinstance(dtype, (T.NumericType, T.BooleanType)):
         return column.cast("double")
-    else:
-        text = column.cast("string")
-        number = F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
-    if isinstance(dtype, (T.IntegralType, T.DecimalType)):
-        return number
-    return F.when(~F.isnan(number), number)
+    text = F.trim(column.cast("string"))
+    return F.when(~text.rlike(_NO_NUMBER), text.try_cast("double"))
 
 
 def safe_int(column: Column, dtype: T.DataType) -> Column:
@@ -39,7 +37,9 @@ def safe_date(column: Column, dtype: T.DataType, formats: tuple[str, ...] = ())
         return column.cast("date")
     text = F.trim(column.cast("string"))
     parsed = [text.try_cast("timestamp_ntz").cast("date")]
-    parsed += [F.try_to_timestamp(text, F.lit(fmt)).cast("date") for fmt in formats]
+    # A failed pattern costs an exception: only texts that start like a date are tried.
+    dated = text.rlike(r"^\d")
+    parsed += [F.when(dated, F.try_to_timestamp(text, F.lit(f)).cast("date")) for f in formats]
     return F.coalesce(*parsed)
 
 

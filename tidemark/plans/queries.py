@@ -372,7 +372,7 @@ def run_stages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_gate_snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    return report.gate_snapshot(_reported(spark, folder)[0])
+    return report.gate_snapshot(_reported(spark, folder)[0], SETTINGS)
 
 
 # Model
