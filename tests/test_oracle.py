@@ -11,11 +11,35 @@ def test_only_the_model_query_has_no_twin():
     assert set(oracle_sql()) <= set(queries())
 
 
+# Plan nodes that would pair all rows or leave the JVM.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "EvalPython", "InPandas")
+
+
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query_equals_sql(spark, checked_warehouse, name):
     connection = duckdb_over(checked_warehouse)
     result = queries()[name](spark, checked_warehouse)
     assert differences(result, connection, oracle_sql()[name]) == []
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in UNWANTED if node in plan]
+
+
+def test_lookback_limits_the_shipment_scan(spark, warehouse):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    result = queries()["refined_rows"](spark, warehouse)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(l_shipdate,1999-10-08T00:00)" in plan
+    assert "LessThan(l_shipdate,2001-11-05T00:00)" in plan
+    assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_shipdate:timestamp_ntz>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
+
+
+def test_shared_steps_are_read_once(spark, warehouse):
+    result = queries()["active_clients"](spark, warehouse)
+    result.collect()
+    final = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("lineitem.parquet") == 1
 
 
 def test_entry_is_the_four_row_ledger(spark):

@@ -1,6 +1,7 @@
 from datetime import date, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.config import Settings
 from tidemark.operators.guardrail import enforce_guardrail, guardrail, judge_volume
@@ -62,6 +63,20 @@ def test_boundaries(spark, row, kept):
     assert refine(spark.createDataFrame([row], CANONICAL), SETTINGS).count() == int(kept)
 
 
+def test_as_of_defaults_to_the_current_date(spark):
+    df = spark.createDataFrame([(5.0, 11.0)], "actual_volume double, rolling_4w_median double")
+    today, tomorrow = F.current_date(), F.date_add(F.current_date(), 1)
+    assert refine(df.withColumn("event_date", today)).count() == 1
+    assert refine(df.withColumn("event_date", tomorrow)).count() == 0
+    assert refine(df.withColumn("event_date", F.date_sub(today, 731))).count() == 0
+
+
+def test_missing_actual_is_rejected_without_the_positive_filter(spark):
+    df = spark.createDataFrame([(_ago(1), None, 11.0, None), (_ago(1), -1.0, 11.0, None)], CANONICAL)
+    loose = Settings(as_of=TODAY, positive_actual_only=False)
+    assert [row.actual_volume for row in refine(df, loose).collect()] == [-1.0]
+
+
 def test_switches(spark):
     df = spark.createDataFrame([(_ago(-1), 0.0, 11.0, None)], CANONICAL)
     loose = Settings(as_of=TODAY, bound_above=False, positive_actual_only=False)

@@ -1,7 +1,7 @@
 """Whole runs, the model, sinks, and row-wise operators on a stream."""
 
 import json
-from datetime import date
+from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
@@ -91,6 +91,26 @@ def test_training_run_writes_everything(spark, client_days, tmp_path):
     assert Path(f"{out}/models/first").exists()
 
 
+def test_csv_run_without_clients_or_target(spark, tmp_path):
+    """140 daily rows of one anonymous series, as text, with the default split."""
+    start = date(2026, 1, 1)
+    lines = ["event_date,actual_volume,rolling_4w_median,is_china,is_domestic"]
+    for i in range(140):
+        china = int(i % 3 == 2)
+        lines.append(f"{start + timedelta(days=i)},{100 + i % 60},{95 + i % 60},{china},{1 - china}")
+    source = tmp_path / "daily.csv"
+    source.write_text("\ufeff" + "\n".join(lines), encoding="utf-8")
+    settings = Settings(as_of=date(2026, 5, 20), trees=2, depth=2, fit_partitions=2)
+    run = run_training(spark, str(source), str(tmp_path / "out"), settings)
+    assert run.split_sizes == {"train": 56, "val": 42, "test": 42}
+    assert run.features == sorted(
+        [f"{prefix}_{wave}" for prefix in ("month", "dow", "doy", "woy", "dom")
+         for wave in ("sin", "cos")] + ["is_china", "is_domestic"]
+    )
+    assert run.guardrail.first().failure_reason == "CRITICAL: DataStarvationError"
+    assert sum(row.row_count for row in run.ledger.collect()) == 42
+
+
 def test_table_runs_obey_the_guardrail(spark, client_days, tmp_path):
     spark.read.parquet(client_days).write.mode("overwrite").saveAsTable("default.client_days")
     strict = Settings(as_of=AS_OF, trees=2, depth=3, expected_rows=10_000_000)

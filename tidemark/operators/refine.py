@@ -41,9 +41,15 @@ def _conditions(source: Canonical, settings: Settings) -> dict[str, Column]:
 def refine(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Canonical client-day rows inside the lookback that can be trained on."""
     source = canonical_columns(df, settings)
+    conditions = _conditions(source, settings)
+    # A comparison already rejects NULL; a second look would parse text sources again.
+    implied = {"missing_date", "missing_baseline"}
+    if settings.positive_actual_only:
+        implied.add("missing_actual")
     rows = source.df
-    for condition in _conditions(source, settings).values():
-        rows = rows.filter(condition)
+    for name, condition in conditions.items():
+        if name not in implied:
+            rows = rows.filter(condition)
     return source.select(rows)
 
 

@@ -289,13 +289,13 @@ _SELECTS = {
     "refine_drop_counts": """SELECT total_rows, kept_rows, total_rows - kept_rows AS dropped_rows,
         missing_date, missing_actual, missing_baseline, before_cutoff, after_as_of,
         non_positive_actual, low_baseline
-        FROM (SELECT count(*) AS total_rows, count_if(event_date IS NULL) AS missing_date,
-          count_if(actual_volume IS NULL) AS missing_actual,
-          count_if(rolling_4w_median IS NULL) AS missing_baseline,
-          count_if(event_date < DATE '2001-11-04' - 730) AS before_cutoff,
-          count_if(event_date > DATE '2001-11-04') AS after_as_of,
-          count_if(actual_volume <= 0) AS non_positive_actual,
-          count_if(rolling_4w_median <= 10) AS low_baseline FROM based)
+        FROM (SELECT count(*) AS total_rows, count(*) FILTER (WHERE event_date IS NULL) AS missing_date,
+          count(*) FILTER (WHERE actual_volume IS NULL) AS missing_actual,
+          count(*) FILTER (WHERE rolling_4w_median IS NULL) AS missing_baseline,
+          count(*) FILTER (WHERE event_date < DATE '2001-11-04' - 730) AS before_cutoff,
+          count(*) FILTER (WHERE event_date > DATE '2001-11-04') AS after_as_of,
+          count(*) FILTER (WHERE actual_volume <= 0) AS non_positive_actual,
+          count(*) FILTER (WHERE rolling_4w_median <= 10) AS low_baseline FROM based)
         CROSS JOIN (SELECT count(*) AS kept_rows FROM refined)""",
     "guardrail": """SELECT NOT starved AND NOT poor AS passed,
         CASE WHEN starved THEN 'CRITICAL: DataStarvationError'
@@ -317,16 +317,16 @@ _SELECTS = {
                           WHERE event_date BETWEEN DATE '2001-11-04' - 730 AND DATE '2001-11-04'
                           GROUP BY tenths)))""",
     "violations": """SELECT
-        count_if(event_date IS NULL OR actual_volume IS NULL OR rolling_4w_median IS NULL)
+        count(*) FILTER (WHERE event_date IS NULL OR actual_volume IS NULL OR rolling_4w_median IS NULL)
           AS input_missing_required_value,
-        count_if(actual_volume - 3 < 0) AS input_negative_actual,
-        count_if(rolling_4w_median <= 0) AS input_non_positive_baseline,
-        count_if(actual_volume IS NULL) AS target_missing_actual,
-        count_if(rolling_4w_median IS NULL) AS target_missing_baseline,
-        count_if(rolling_4w_median <= 0) AS target_non_positive_baseline,
-        count_if(actual_volume - 3 < 0) AS target_negative_actual,
-        count_if(rolling_4w_median IS NULL) AS inverse_missing_baseline,
-        count_if(rolling_4w_median <= 0) AS inverse_non_positive_baseline FROM texts""",
+        count(*) FILTER (WHERE actual_volume - 3 < 0) AS input_negative_actual,
+        count(*) FILTER (WHERE rolling_4w_median <= 0) AS input_non_positive_baseline,
+        count(*) FILTER (WHERE actual_volume IS NULL) AS target_missing_actual,
+        count(*) FILTER (WHERE rolling_4w_median IS NULL) AS target_missing_baseline,
+        count(*) FILTER (WHERE rolling_4w_median <= 0) AS target_non_positive_baseline,
+        count(*) FILTER (WHERE actual_volume - 3 < 0) AS target_negative_actual,
+        count(*) FILTER (WHERE rolling_4w_median IS NULL) AS inverse_missing_baseline,
+        count(*) FILTER (WHERE rolling_4w_median <= 0) AS inverse_non_positive_baseline FROM texts""",
     "calendar_parts": """SELECT client_name, event_date, CAST(month(event_date) AS INTEGER) AS month,
         CAST(isodow(event_date) - 1 AS INTEGER) AS day_of_week,
         CAST(dayofyear(event_date) AS INTEGER) AS day_of_year,

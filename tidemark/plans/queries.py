@@ -86,7 +86,7 @@ def _gated_runs(spark: SparkSession, folder: str) -> DataFrame:
 def _decided(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     scored, test = _train_and_test_cohorts(spark, folder)
     ledger = stage(cohorts.cohort_ledger(test, SETTINGS), "ledger")
-    accuracy = stage(evaluation(scored.filter(F.col("split") != "train")), "evaluation")
+    accuracy = evaluation(scored.filter(F.col("split") != "train"))
     decided = governance.decide_promotion(
         _gated_runs(spark, folder), accuracy, cohorts.gate_verdict(ledger), SETTINGS
     )
@@ -111,7 +111,10 @@ def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     name = f"default.client_days_{uuid4().hex}"
     path = stage_path(spark, "client-days")
     _baselined(spark, folder).write.option("path", path).saveAsTable(name)
-    return refine(load(spark, name), SETTINGS)
+    rows = refine(load(spark, name), SETTINGS)
+    # The result reads the external files; the catalog keeps no trace of the query.
+    spark.sql(f"DROP TABLE {name}")
+    return rows
 
 
 def alias_projection(spark: SparkSession, folder: str) -> DataFrame:
