@@ -153,6 +153,6 @@ def gate_verdict(ledger: DataFrame) -> DataFrame:
     )
 
 
-def soft_reason(settings: Settings) -> str:
+def soft_reason(settings: Settings) -> str | None:
     """The warning shown when only soft cohorts breach."""
-    return next(cohort.reason for cohort in settings.cohorts if not cohort.hard)
+    return next((cohort.reason for cohort in settings.cohorts if not cohort.hard), None)
