@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
+from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.rendezvous import assign_shards
 from tidemark.llm.sanitise import sanitise
 
@@ -31,6 +32,10 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"), keep="largest")
 
 
+def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_groups(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op9_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
     return assign_shards(
         table(spark, folder, "documents"), range(SHARDS), grown={SHARDS: 1.0}
@@ -40,6 +45,7 @@ def op9_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sanitise": op4_sanitise,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_jaccard": op8_jaccard,
     "op9_rendezvous": op9_rendezvous,
 }
 
