@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.byte_bpe import decode_ids, encode_texts, read_ranks
 from tidemark.llm.common import table
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.jaccard_join import jaccard_groups
+from tidemark.llm.kneser_ney import quality_scores
 from tidemark.llm.rendezvous import assign_shards
 from tidemark.llm.sanitise import sanitise
 
 SHARDS = 40
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
 def op4_sanitise(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,6 +35,24 @@ def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"), keep="largest")
 
 
+def token_digests(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of the encoded and decoded texts."""
+    import public_tokenizers
+
+    ranks = read_ranks(public_tokenizers.path(vocabulary))
+    encoded = encode_texts(docs, ranks, public_tokenizers.PATTERN)
+    return decode_ids(encoded, ranks).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"))
+
+
 def op8_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents"), words=4, percent=85)
 
@@ -42,11 +63,17 @@ def op9_rendezvous(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sanitise": op4_sanitise,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
     "op8_jaccard": op8_jaccard,
     "op9_rendezvous": op9_rendezvous,
+    "op10_kneser_ney": op10_kneser_ney,
 }
 
 ORACLE_SQL: dict[str, str] = {
