@@ -72,6 +72,13 @@ class PerfectHash:
             self.tokens[slot] = token
             self.ranks[slot] = ranks[token]
 
+    @classmethod
+    def restore(cls, state: dict) -> PerfectHash:
+        """From ``vars`` of another, which executors can read without this package."""
+        perfect = cls.__new__(cls)
+        vars(perfect).update(state)
+        return perfect
+
     @staticmethod
     def hashes(keys: Iterable[bytes]) -> np.ndarray:
         from xxhash import xxh3_64_intdigest
@@ -198,7 +205,7 @@ def _parts(texts: pa.Array) -> Iterator[tuple[int, list[str]]]:
 
 def _encoding(pattern: str, shared):
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(pattern, shared.value)
+        encoder = Encoder(pattern, PerfectHash.restore(shared.value))
         for batch in batches:
             for first, texts in _parts(batch.column("text")):
                 yield pa.RecordBatch.from_arrays(
@@ -224,7 +231,7 @@ def encode_texts(
     table gives an empty result. The vocabulary, of fixed size, goes to every worker.
     """
     rows = pick(docs, id_column, text_column).toDF("doc_id", "text")
-    shared = docs.sparkSession.sparkContext.broadcast(PerfectHash(ranks))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(PerfectHash(ranks)))
     kind = dict(rows.dtypes)["doc_id"]
     return rows.withColumn("text", F.col("text").cast("string")).mapInArrow(
         _encoding(pattern, shared), f"doc_id {kind}, ids array<int>"
