@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.byte_bpe import decode_ids, encode_texts, read_ranks
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.kneser_ney import quality_scores
@@ -18,6 +19,10 @@ SHARDS = 40
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_sanitise(spark: SparkSession, folder: str) -> DataFrame:
     found = sanitise(table(spark, folder, "documents"), with_text=False)
     return found.select(
@@ -68,6 +73,7 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
     "op4_sanitise": op4_sanitise,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_byte_bpe": op7_byte_bpe,
