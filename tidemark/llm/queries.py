@@ -12,6 +12,7 @@ from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.kneser_ney import quality_scores
+from tidemark.llm.line_dedup import deduplicate_lines
 from tidemark.llm.rendezvous import assign_shards
 from tidemark.llm.sanitise import sanitise
 
@@ -19,6 +20,17 @@ SHARDS = 40
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and the digest of what is left of every text."""
+    return deduplicate_lines(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_lines",
+        "n_deleted",
+        F.char_length(F.coalesce("text", F.lit(""))).alias("n_chars_left"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("left_sha256"),
+    )
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -73,6 +85,7 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_sanitise": op4_sanitise,
     "op6_exact_dedup": op6_exact_dedup,
