@@ -12,9 +12,19 @@ from tidemark.llm.decontaminate import contamination
 from tidemark.llm.exact_dedup import exact_groups
 from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.kneser_ney import quality_scores
+from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.line_dedup import deduplicate_lines
 from tidemark.llm.rendezvous import assign_shards
 from tidemark.llm.sanitise import sanitise
+from tidemark.llm.token_rollup import (
+    TOKENIZERS,
+    TokenRollup,
+    deletes,
+    inserts,
+    revisions,
+    token_counts,
+)
+from tidemark.staging import Stages, stage_path
 
 SHARDS = 40
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +41,25 @@ def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents are inserted under two tokenizer versions, recounted by the successor of
+    one, and the toxic ones deleted; every batch is committed twice, which counts once."""
+    with Stages(spark) as stages:
+        counts = stages(token_counts(table(spark, folder, "documents"), *TOKENIZERS), "token-counts")
+        toxic = table(spark, folder, "labels").filter("toxic = 1").select("doc_id").distinct()
+        gone = counts.join(toxic, "doc_id", "left_semi")
+        rollup = TokenRollup(spark, stage_path(spark, "token-rollup"))
+        batches = {
+            "insert": inserts(counts, "whitespace-1").unionByName(inserts(counts, "letters-1")),
+            "recount": revisions(counts, "letters-1", "letters-2"),
+            "delete-toxic": deletes(gone, "whitespace-1").unionByName(deletes(gone, "letters-2")),
+        }
+        for name, deltas in [*batches.items(), *batches.items()]:
+            rollup.commit(name, deltas)
+        rollup.compact()
+    return rollup.totals()
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -48,6 +77,10 @@ def op4_sanitise(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(table(spark, folder, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(table(spark, folder, "documents"), keep="largest")
 
@@ -86,8 +119,10 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_token_rollup": op2_token_rollup,
     "op3_decontaminate": op3_decontaminate,
     "op4_sanitise": op4_sanitise,
+    "op5_license_scan": op5_license_scan,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_jaccard": op8_jaccard,
@@ -96,6 +131,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_token_rollup": r"""
+        WITH kept AS (
+            SELECT source, lang,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS white,
+                   len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+')) AS letters
+            FROM documents
+            WHERE doc_id IS NULL
+               OR doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)
+        ),
+        totals AS (
+            SELECT source, lang, 'whitespace-1' AS tokenizer,
+                   count(*) AS documents, CAST(sum(white) AS BIGINT) AS tokens
+            FROM kept GROUP BY source, lang
+            UNION ALL
+            SELECT source, lang, 'letters-2', count(*), CAST(sum(letters) AS BIGINT)
+            FROM kept GROUP BY source, lang
+        )
+        SELECT * FROM totals WHERE documents <> 0 OR tokens <> 0
+    """,
     "op6_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER g AS keep_id,
