@@ -28,14 +28,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated line runs, ``n_chars`` of what is left.
 
     A document of which nothing but white space is left goes; others stay, empty or not."""
-    shorter = deduplicate_lines(docs)
-    emptied = (F.col("n_deleted") > 0) & (F.col("n_deleted") == F.col("n_lines"))
-    left = shorter.filter(~emptied).select(*docs.columns, "n_deleted")
+    names = [f"_{place}" for place in range(len(docs.columns))]
+    shorter = deduplicate_lines(docs).toDF(*names, "n_lines", "n_deleted")
+    left = shorter.filter(~((F.col("n_deleted") > 0) & (F.col("n_deleted") == F.col("n_lines"))))
     if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        size = F.when(F.col("n_deleted") > 0, F.char_length("text").cast(kind))
-        left = left.withColumn("n_chars", F.coalesce(size, F.col("n_chars")))
-    return left.select(*docs.columns)
+        chars, text = (names[docs.columns.index(name)] for name in ("n_chars", "text"))
+        size = F.char_length(text).cast(dict(left.dtypes)[chars])
+        left = left.withColumn(chars, F.when(F.col("n_deleted") > 0, size).otherwise(F.col(chars)))
+    return left.select(*names).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
