@@ -44,14 +44,16 @@ def _verdict(spark, passes=True, reason=None, warned=False):
 
 @pytest.mark.parametrize("ntz", [False, True])
 def test_gates_and_promotion_rate(spark, ntz):
-    runs = _runs(spark, ("a", 1.0, 8.0, True, True), ("b", 3.0, 30.0, False, False), ntz=ntz)
-    first, second = process_gates(runs).orderBy("run_id").collect()
-    assert (first.hours_to_baseline, first.hours_to_evaluation) == (1.0, 8.0)
-    assert first.process_pass
-    assert not (second.baseline_speed_pass or second.evaluation_speed_pass)
-    assert not second.artifact_completeness_pass
-    assert (first.artifact_completeness, second.artifact_completeness) == (1.0, 0.0)
-    assert promotion_rate(runs).first().promotion_rate == 0.5
+    quick, slow, bare = ("a", 0.25, 17.5, True, True), ("b", 2.5, 40.0, False, True), ("c", 1.75, 23.0, False, False)
+    runs = _runs(spark, quick, slow, bare, ntz=ntz)
+    a, b, c = process_gates(runs).orderBy("run_id").collect()
+    assert (a.hours_to_baseline, a.hours_to_evaluation) == (0.25, 17.5)
+    assert [row.process_pass for row in (a, b, c)] == [True, False, False]
+    assert [row.baseline_speed_pass for row in (a, b, c)] == [True, False, True]
+    assert [row.evaluation_speed_pass for row in (a, b, c)] == [True, False, True]
+    assert [row.artifact_completeness for row in (a, b, c)] == [1.0, 1.0, 0.0]
+    assert not c.artifact_completeness_pass
+    assert promotion_rate(runs).first().promotion_rate == pytest.approx(1 / 3)
 
 
 def test_limits_are_inclusive(spark):

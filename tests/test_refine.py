@@ -25,22 +25,27 @@ def _noon(days):
 def test_only_complete_recent_rows_survive(spark):
     df = spark.createDataFrame(
         [
-            (_noon(2), 100.0, 20.0, 1.0, 0, 1),
-            (_noon(1), None, 15.0, 0.5, 1, 0),
-            (None, 200.0, 5.0, 0.2, 0, 1),
-            (_noon(800), 150.0, 12.0, 0.8, 1, 0),
+            (_noon(731), 64.0, 33.0, None, 1, 1),
+            (_noon(365), 7.25, 48.5, -0.4, 0, 0),
+            (_noon(9), 810.0, None, 0.0, 0, 1),
+            (_noon(0), 12.0, 10.5, 3.0, None, None),
+            (None, 55.0, 41.0, 0.3, 1, 1),
+            (_noon(30), None, 61.0, 0.0, 0, 1),
         ],
         LIVE,
     )
-    rows = refine(df, SETTINGS).collect()
-    assert [(row.event_date, row.rolling_4w_median) for row in rows] == [(_ago(2), 20.0)]
+    rows = refine(df, SETTINGS).orderBy("event_date").collect()
+    assert [(row.event_date, row.rolling_4w_median) for row in rows] == [
+        (_ago(365), 48.5),
+        (_ago(0), 10.5),
+    ]
 
 
 def test_canonical_and_other_date_names(spark):
-    rows = [(_ago(1), 100.0, 20.0, 0.1), (_ago(2), 150.0, 15.0, 0.2), (None, 1.0, 15.0, 0.2)]
+    rows = [(_ago(40 * i), 3.5 + i, 12.0 * i, None) for i in range(1, 6)] + [(None, 8.0, 77.0, 1.5)]
     df = spark.createDataFrame(rows, CANONICAL)
-    assert refine(df, SETTINGS).count() == 2
-    assert refine(df.withColumnRenamed("event_date", "DATE_DATE"), SETTINGS).count() == 2
+    assert refine(df, SETTINGS).count() == 5
+    assert refine(df.withColumnRenamed("event_date", "DATE_DATE"), SETTINGS).count() == 5
 
 
 @pytest.mark.parametrize(

@@ -103,7 +103,6 @@ class Settings:
     max_eval_hours: float = 24.0
 
     # model
-    model_engine: str = "mllib"
     trees: int = 600
     depth: int = 8
     learning_rate: float = 0.03
@@ -111,7 +110,7 @@ class Settings:
     column_sample: float = 0.85
     seed: int = 42
     max_bins: int = 256
-    fit_partitions: int | None = None  # None: by row count, at least the shuffle partitions
+    fit_partitions: int = 16  # recorded: row sampling, and so the model, depends on it
 
     # identity
     model_name: str = "multi_client_uplift_trees"

@@ -1,12 +1,12 @@
 """Exact, linearly interpolated quantiles whose state stays bounded at any row count.
 
 Spark's ``percentile`` is exact but merges a map of every distinct value in one final
-task. It is used only below a checked row count. Above it, each wanted rank is bracketed
-between two values taken from a fixed-size quantile sketch, exact counts then decide on
-which side of (or on which of) the two values the rank lies, and the bracket shrinks by
-the sketch accuracy on every round until the rank falls on a value. Each round is two
-distributed aggregates that return one row of fixed width, and heavily repeated values
-only help: they resolve through the equality counts.
+task. Here each wanted rank is bracketed between two values taken from a fixed-size
+quantile sketch, exact counts then decide on which side of (or on which of) the two values
+the rank lies, and the bracket shrinks by the sketch accuracy on every round until the rank
+falls on a value. Each round is two distributed aggregates that return one row of fixed
+width, and heavily repeated values only help: they resolve through the equality counts.
+The same rounds run at every size; small inputs need one.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, functions as F
 
-DIRECT_ROWS = 2_000_000
 ACCURACY = 10_000
 
 
@@ -39,13 +38,15 @@ class _Rank:
             kept = kept & (F.col(self.column) < F.lit(self.high))
         return kept
 
-    def probes(self, accuracy: int) -> Column:
-        """Two sketch quantiles expected to enclose the rank."""
+    @property
+    def interval(self) -> tuple[str, float | None, float | None]:
+        return self.column, self.low, self.high
+
+    def probes(self, accuracy: int) -> list[float]:
+        """Probabilities of two sketch quantiles expected to enclose the rank."""
         centre = (self.rank + 0.5) / self.inside
         margin = 2.0 / accuracy
-        wanted = [max(0.0, centre - margin), min(1.0, centre + margin)]
-        inside = F.when(self.candidates(), F.col(self.column))
-        return F.percentile_approx(inside, wanted, accuracy)
+        return [max(0.0, centre - margin), min(1.0, centre + margin)]
 
     def counts(self, left: float, right: float) -> Column:
         value, kept = F.col(self.column), self.candidates()
@@ -77,9 +78,26 @@ class _Rank:
 
 def _resolve(values: DataFrame, ranks: list[_Rank], accuracy: int) -> None:
     while open_ranks := [rank for rank in ranks if rank.value is None]:
-        probes = values.agg(
-            *[rank.probes(accuracy).alias(f"r{i}") for i, rank in enumerate(open_ranks)]
+        # Ranks of one column and interval share a sketch.
+        sketches: dict[tuple, list[_Rank]] = {}
+        for rank in open_ranks:
+            sketches.setdefault(rank.interval, []).append(rank)
+        rows = values.agg(
+            *[
+                F.percentile_approx(
+                    F.when(group[0].candidates(), F.col(group[0].column)),
+                    [p for rank in group for p in rank.probes(accuracy)],
+                    accuracy,
+                ).alias(f"s{i}")
+                for i, group in enumerate(sketches.values())
+            ]
         ).first()
+        found = {
+            id(rank): row[2 * place : 2 * place + 2]
+            for row, group in zip(rows, sketches.values())
+            for place, rank in enumerate(group)
+        }
+        probes = [found[id(rank)] for rank in open_ranks]
         counts = values.agg(
             *[rank.counts(*probes[i]).alias(f"r{i}") for i, rank in enumerate(open_ranks)]
         ).first()
@@ -120,7 +138,6 @@ def exact_quantiles(
     measures: dict[str, Column],
     wanted: dict[str, tuple[str, float]],
     *,
-    direct_rows: int = DIRECT_ROWS,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
     """One row with a column per entry of ``wanted`` (output name -> measure, probability).
@@ -128,10 +145,6 @@ def exact_quantiles(
     ``df`` is read several times, so pass a stage table or another cheap, stable input.
     """
     values = df.select(*[column.cast("double").alias(name) for name, column in measures.items()])
-    if df.count() <= direct_rows:
-        return values.agg(
-            *[F.percentile(column, p).alias(name) for name, (column, p) in wanted.items()]
-        )
     found = _bracketed(values, wanted, accuracy)
     return df.sparkSession.range(1).select(
         *[F.lit(value).cast("double").alias(name) for name, value in found.items()]

@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.config import ACTUAL, CLIENT, Settings
+from tidemark.staging import stage
 
 
 def champion_rows(df: DataFrame, champions: DataFrame) -> DataFrame:
     """Rows of the listed clients.
 
-    The list is reduced to distinct names before it is shuffled, so repeated names cost
-    nothing; Spark broadcasts it when its measured size allows.
+    The list is reduced to distinct names first, so repeated names cost nothing; Spark
+    broadcasts it when its measured size allows.
     """
-    return df.join(champions.select(CLIENT).distinct(), CLIENT, "left_semi")
+    return _rows_of(df, champions.select(CLIENT).distinct())
 
 
 def client_medians(df: DataFrame) -> DataFrame:
@@ -30,15 +31,25 @@ def active_clients(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     )
 
 
+def _rows_of(df: DataFrame, clients: DataFrame) -> DataFrame:
+    """Rows of the listed clients. The list is a stage table, so both sides of the join are
+    plain exchanges and adaptive execution can split a client that holds much of the rows."""
+    return df.join(stage(clients.select(CLIENT), "clients"), CLIENT, "left_semi")
+
+
 def active_rows(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows of the active clients. ``df`` is read twice: pass a stage table or a scan."""
-    return df.join(active_clients(df, settings).select(CLIENT), CLIENT, "left_semi")
+    return _rows_of(df, active_clients(df, settings))
 
 
 def restrict_clients(
     df: DataFrame, champions: DataFrame | None = None, settings: Settings = Settings()
 ) -> DataFrame:
-    """Champion restriction, if a list is given, then the median restriction."""
+    """Rows of the clients that are active and, if a list is given, on it.
+
+    The lists are reduced to one before the rows are filtered once.
+    """
+    clients = active_clients(df, settings)
     if champions is not None:
-        df = champion_rows(df, champions)
-    return active_rows(df, settings)
+        clients = clients.join(champions.select(CLIENT), CLIENT, "left_semi")
+    return _rows_of(df, clients)

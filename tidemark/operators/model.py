@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -16,38 +15,14 @@ from tidemark.operators.features import restore_volume
 VECTOR = "features"
 PREDICTED_LOG = "pred_log"
 PREDICTED_VOLUME = "pred_volume"
-ROWS_PER_PARTITION = 500_000
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR)
 
 
-def regressor(settings: Settings = Settings()):
-    """The configured boosted-tree regressor.
-
-    ``model_engine="xgboost"`` uses the distributed estimator of the optional xgboost
-    package with the same hyperparameters; the default is Spark's own.
-    """
-    if settings.model_engine == "xgboost":
-        try:
-            from xgboost.spark import SparkXGBRegressor
-        except ImportError as error:
-            raise RuntimeError("model_engine='xgboost' needs the xgboost package.") from error
-        return SparkXGBRegressor(
-            features_col=VECTOR,
-            label_col=TARGET,
-            prediction_col=PREDICTED_LOG,
-            n_estimators=settings.trees,
-            max_depth=settings.depth,
-            learning_rate=settings.learning_rate,
-            subsample=settings.row_sample,
-            colsample_bytree=settings.column_sample,
-            objective="reg:squarederror",
-            random_state=settings.seed,
-        )
-    if settings.model_engine != "mllib":
-        raise ValueError(f"Unknown model engine {settings.model_engine!r}.")
+def regressor(settings: Settings = Settings()) -> GBTRegressor:
+    """The configured boosted-tree regressor."""
     return GBTRegressor(
         featuresCol=VECTOR,
         labelCol=TARGET,
@@ -62,29 +37,22 @@ def regressor(settings: Settings = Settings()):
     )
 
 
-def _partitions(train: DataFrame, settings: Settings) -> int:
-    """A partition count that follows the data, not how it happened to be read."""
-    if settings.fit_partitions:
-        return settings.fit_partitions
-    configured = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(configured, math.ceil(train.count() / ROWS_PER_PARTITION))
-
-
 def _training_layout(train: DataFrame, features: Sequence[str], settings: Settings) -> DataFrame:
     """Only the fitted columns, spread evenly and ordered the same way on every run.
 
-    Row sampling follows the partitioning, so the layout fixes it: hashing the unique
-    (client, day) key spreads even one dominant client over all partitions.
+    Row sampling follows the partitioning, so ``fit_partitions`` is part of the model's
+    settings: the same rows and settings give the same model on any cluster. Hashing the
+    unique (client, day) key spreads even one dominant client over all partitions.
     """
     keyed = train.select(CLIENT, DATE, TARGET, *features)
-    spread = keyed.repartition(_partitions(train, settings), CLIENT, DATE)
+    spread = keyed.repartition(settings.fit_partitions, CLIENT, DATE)
     return spread.sortWithinPartitions(CLIENT, DATE)
 
 
 def fit_forecaster(
     train: DataFrame, features: Sequence[str], settings: Settings = Settings()
 ) -> PipelineModel:
-    """Fit on the training part, which is counted first: pass a stage table's rows.
+    """Fit on the training part; this runs the fit's jobs.
 
     Flags must be filled (see ``fill_flags``).
     """

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from dataclasses import replace
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.config import Settings
 from tidemark.operators.baseline import rolling_baseline
@@ -14,19 +15,27 @@ from tidemark.operators.split import label_split
 from tidemark.sources.warehouse import daily_volume
 
 
+def resolved(spark: SparkSession, settings: Settings) -> Settings:
+    """Settings with a date: the session's current one, read once, where none is given."""
+    if settings.as_of is not None:
+        return settings
+    return replace(settings, as_of=spark.range(1).select(F.current_date()).first()[0])
+
+
 def warehouse_client_days(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
     """Client-days with baselines for the lookback, reading no older shipments than needed.
 
     The first kept day still sees its whole baseline window, so the refined rows equal
     those of the full history.
     """
-    as_of = settings.as_of or date.today()
+    as_of = resolved(spark, settings).as_of
     history = timedelta(days=settings.lookback_days + settings.baseline_window_days)
     until = as_of if settings.bound_above else None
     return rolling_baseline(daily_volume(spark, folder, as_of - history, until), settings)
 
 
 def refined_client_days(spark: SparkSession, folder: str, settings: Settings) -> DataFrame:
+    settings = resolved(spark, settings)
     return refine(warehouse_client_days(spark, folder, settings), settings)
 
 

@@ -193,6 +193,7 @@ _PARAMETERS = {
     "input_source_mode": "'parquet'",
     "input_source": "'lineitem'",
     "feature_count": "'0'",
+    "fit_partitions": "'16'",
     "test_days": "'42'",
     "val_days": "'42'",
     "dataset_version": "'v1'",

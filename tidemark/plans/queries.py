@@ -44,7 +44,7 @@ from tidemark.staging import stage, stage_path
 
 AS_OF = date(2001, 11, 4)
 SETTINGS = Settings(as_of=AS_OF, min_client_median=30.0, max_eval_hours=12.0)
-GBT_SETTINGS = Settings(as_of=AS_OF, trees=5)
+GBT_SETTINGS = Settings(as_of=AS_OF)
 # Guardrail expectations as tenths of the client-days inside the lookback.
 EXPECTED_TENTHS = (0, 10, 15, 30)
 
@@ -83,9 +83,14 @@ def _gated_runs(spark: SparkSession, folder: str) -> DataFrame:
     return governance.process_gates(event_runs(spark, folder, SETTINGS), SETTINGS)
 
 
-def _decided(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _decided(
+    spark: SparkSession, folder: str, staged: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Decided runs and the ledger, which is written first where both are read."""
     scored, test = _train_and_test_cohorts(spark, folder)
-    ledger = stage(cohorts.cohort_ledger(test, SETTINGS), "ledger")
+    ledger = cohorts.cohort_ledger(test, SETTINGS)
+    if staged:
+        ledger = stage(ledger, "ledger")
     accuracy = evaluation(scored.filter(F.col("split") != "train"))
     decided = governance.decide_promotion(
         _gated_runs(spark, folder), accuracy, cohorts.gate_verdict(ledger), SETTINGS
@@ -93,8 +98,10 @@ def _decided(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return decided, ledger
 
 
-def _reported(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    decided, ledger = _decided(spark, folder)
+def _reported(
+    spark: SparkSession, folder: str, staged: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    decided, ledger = _decided(spark, folder, staged)
     return report.judge_report(decided, SETTINGS), ledger
 
 
@@ -111,10 +118,11 @@ def table_scan(spark: SparkSession, folder: str) -> DataFrame:
     name = f"default.client_days_{uuid4().hex}"
     path = stage_path(spark, "client-days")
     _baselined(spark, folder).write.option("path", path).saveAsTable(name)
-    rows = refine(load(spark, name), SETTINGS)
-    # The result reads the external files; the catalog keeps no trace of the query.
-    spark.sql(f"DROP TABLE {name}")
-    return rows
+    try:
+        return refine(load(spark, name), SETTINGS)
+    finally:
+        # The result reads the external files; the catalog keeps no trace of the query.
+        spark.sql(f"DROP TABLE {name}")
 
 
 def alias_projection(spark: SparkSession, folder: str) -> DataFrame:
@@ -346,7 +354,7 @@ def run_params_long(spark: SparkSession, folder: str) -> DataFrame:
 
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
     """The reports as written to JSON and read back, flattened."""
-    reported, ledger = _reported(spark, folder)
+    reported, ledger = _reported(spark, folder, staged=True)
     built = report.build_report(reported, ledger, SETTINGS, source="lineitem")
     path = stage_path(spark, "reports")
     write_report(built, path)

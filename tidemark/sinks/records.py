@@ -46,6 +46,7 @@ def run_parameters(
         "input_source_mode": F.lit(source_kind),
         "input_source": F.lit(source),
         "feature_count": F.lit(feature_count),
+        "fit_partitions": F.lit(settings.fit_partitions),
         "test_days": F.lit(settings.test_days),
         "val_days": F.lit(settings.val_days),
         "dataset_version": F.col("dataset_version"),

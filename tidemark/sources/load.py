@@ -5,23 +5,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 
+KINDS = ("table", "csv", "parquet")
+
+
 def source_kind(source: str) -> str:
-    """``table`` for dotted names without a slash, otherwise ``csv`` or ``parquet``."""
-    path = source.replace("\\", "/")
-    if source.endswith(".csv"):
+    """By name: ``parquet`` and ``csv`` by suffix, ``table`` for other dotted names without a
+    slash, else ``folder``, which ``load`` looks into."""
+    path = source.replace("\\", "/").rstrip("/")
+    for kind in ("csv", "parquet"):
+        if path.endswith(f".{kind}"):
+            return kind
+    return "table" if "." in path and "/" not in path else "folder"
+
+
+def _folder_kind(spark: SparkSession, source: str) -> str:
+    """``parquet`` if a file in the folder is called so, at any depth, else ``csv``."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(source)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(location):
         return "csv"
-    if "." in path and "/" not in path:
-        return "table"
-    return "parquet" if path.rstrip("/").endswith(".parquet") else "csv"
+    found = files.listFiles(location, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return "parquet"
+    return "csv"
 
 
-def load(spark: SparkSession, source: str, schema: T.StructType | None = None) -> DataFrame:
-    """Open a source lazily.
+def load(
+    spark: SparkSession,
+    source: str,
+    schema: T.StructType | None = None,
+    format: str | None = None,
+) -> DataFrame:
+    """Open a source lazily, as ``format`` (table, csv or parquet) or as its name says.
 
     Without a schema a CSV is read as text: the refinement coerces every column it
     keeps, so no inference pass over the data is needed.
     """
-    kind = source_kind(source)
+    if format not in (None, *KINDS):
+        raise ValueError(f"Unknown format {format!r}; choose from {KINDS}.")
+    kind = format or source_kind(source)
+    if kind == "folder":
+        kind = _folder_kind(spark, source)
     if kind == "table":
         return spark.table(source)
     if kind == "parquet":
