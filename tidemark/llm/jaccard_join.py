@@ -30,6 +30,8 @@ from tidemark.staging import Stages
 BYTES_PER_PART = 16 << 20
 #: Shingles that are packed together before they are sent.
 CHUNK_SHINGLES = 1 << 20
+#: Documents whose counts one task adds up.
+DOCUMENTS_PER_BUCKET = 20_000
 #: Largest set size that may be enumerated; costs beyond are far above any list's.
 ENUMERABLE = 24
 #: Comparisons of lists with one member each, before all pairs of different groups.
@@ -159,8 +161,37 @@ def _packed(words: int, parts: int):
     return pack
 
 
-def _count_part(chunk: pa.Table) -> pa.Table:
-    """Shingles of a part that documents share with other chunks, by document."""
+def _counting(buckets: int):
+    """Counts of a part by document, packed by bucket of documents."""
+
+    def count(chunk: pa.Table) -> pa.Table:
+        who, found = _shared_in_part(chunk)
+        bucket = (who % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        who, found, bucket = who[order], found[order], bucket[order]
+        numbers, starts = np.unique(bucket, return_index=True)
+        cuts = starts[1:].tolist()
+        return pa.table(
+            {
+                "bucket": pa.array(numbers, pa.int64()),
+                "owners": pa.array([own.tobytes() for own in np.split(who, cuts)][: len(numbers)], pa.binary()),
+                "counts": pa.array([own.tobytes() for own in np.split(found, cuts)][: len(numbers)], pa.binary()),
+            }
+        )
+
+    return count
+
+
+def _summed(chunk: pa.Table) -> pa.Table:
+    who = np.concatenate([np.frombuffer(b.as_py(), np.uint64) for b in chunk["owners"]])
+    counts = np.concatenate([np.frombuffer(b.as_py(), np.int64) for b in chunk["counts"]])
+    owners, place = np.unique(who, return_inverse=True)
+    shared = np.bincount(place, weights=counts).astype(np.int64)
+    return pa.table({"digest64": owners.view(np.int64), "shared": shared})
+
+
+def _shared_in_part(chunk: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Documents and how many of a part's shingles each shares with other chunks."""
     singles, owners, shared, done = [], [], [], {}
     digests: list[np.ndarray] = []
     known: list[tuple[np.ndarray, np.ndarray]] = []
@@ -193,7 +224,7 @@ def _count_part(chunk: pa.Table) -> pa.Table:
     some = found > 0
     who = np.concatenate([who[some], *[w for w, _ in known]])
     found = np.concatenate([found[some], *[c.astype(np.int64) for _, c in known]])
-    return pa.table({"digest64": who.view(np.int64), "shared": found})
+    return who, found
 
 
 def _sets(words: int, with_tokens: bool):
@@ -225,7 +256,7 @@ def _sets(words: int, with_tokens: bool):
 NARROW = "text_key long, n long, digest binary, digest64 long"
 
 
-def shared_counts(texts: DataFrame, words: int) -> DataFrame:
+def shared_counts(texts: DataFrame, words: int, documents: int) -> DataFrame:
     """``digest64, shared``: at least as many shingles as a set shares with other documents.
 
     A part compares 32 bits of a hash; a chance agreement only keeps a document longer.
@@ -233,8 +264,11 @@ def shared_counts(texts: DataFrame, words: int) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text")).alias("size")).first().size or 0
     parts = max(1, -(-size // BYTES_PER_PART))
     packed = texts.select("text").mapInArrow(_packed(words, parts), PACKED)
-    counted = packed.groupBy("part").applyInArrow(_count_part, "digest64 long, shared long")
-    return counted.groupBy("digest64").agg(F.sum("shared").alias("shared"))
+    buckets = max(1, -(-documents // DOCUMENTS_PER_BUCKET))
+    counted = packed.groupBy("part").applyInArrow(
+        _counting(buckets), "bucket long, owners binary, counts binary"
+    )
+    return counted.groupBy("bucket").applyInArrow(_summed, "digest64 long, shared long")
 
 
 # --- small sets: subsets -----------------------------------------------------------------
@@ -443,6 +477,23 @@ def jaccard_groups(
 
     Equal sets are joined as one. A set is known by 128 bits, a shingle by 64 bits of a hash.
     """
+    groups = _classes(docs, words, percent, id_column, text_column)
+    firsts = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    with Stages(docs.sparkSession) as stages:
+        firsts = stages.keep(firsts.filter("component IS NOT NULL"), "jaccard-firsts")
+    return groups.join(firsts, "component", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("component").isNull(), F.col("doc_id"))
+        .otherwise(F.col("component_id"))
+        .alias("component_id"),
+    )
+
+
+def _classes(
+    docs: DataFrame, words: int, percent: int, id_column: str, text_column: str
+) -> DataFrame:
+    """``doc_id, text_key, n, component`` of every row; a null component is a row alone."""
     rows = pick(docs, id_column, text_column).toDF("doc_id", "text")
     texts = rows.select(
         "doc_id", F.xxhash64(text_or_empty()).alias("text_key"), text_or_empty().alias("text")
@@ -451,7 +502,7 @@ def jaccard_groups(
     spark = docs.sparkSession
     with Stages(spark) as stages:
         narrow = stages(texts.mapInArrow(_sets(words, False), identifier + NARROW), "jaccard-narrow")
-        shared = shared_counts(texts, words)
+        shared = shared_counts(texts, words, narrow.count())
         able = stages(
             narrow.filter("n > 0")
             .join(shared, "digest64")
@@ -470,25 +521,62 @@ def jaccard_groups(
             .agg(F.first("n").alias("n"), F.first("tokens").alias("tokens")),
             "jaccard-sets",
         )
-        roots = group_links(sets, percent, stages)
-        classes = (
-            narrow.filter("n > 0")
-            .groupBy("digest")
-            .agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("rows"))
-            .join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+        roots = group_links(sets, percent, stages).withColumnRenamed("node", "digest")
+        copies = narrow.filter("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("rows"))
+        known = stages(
+            copies.join(roots, "digest", "left")
             .filter("rows > 1 OR root IS NOT NULL")
-            .withColumn("root", F.coalesce("root", "digest"))
+            .select("digest", F.coalesce("root", "digest").alias("component")),
+            "jaccard-known",
         )
-        classes = stages(classes, "jaccard-classes")
-        firsts = classes.groupBy("root").agg(F.min("first").alias("component_id"))
-        known = stages(classes.join(firsts, "root").select("digest", "component_id"), "jaccard-known")
         return stages.keep(
-            narrow.join(known.withColumn("linked", F.lit(True)), "digest", "left").select(
-                "doc_id",
-                F.col("n").alias("n_shingles"),
-                F.when(F.col("linked"), F.col("component_id"))
-                .otherwise(F.col("doc_id"))
-                .alias("component_id"),
-            ),
-            "jaccard-groups",
+            narrow.join(known, "digest", "left").select("doc_id", "text_key", "n", "component"),
+            "jaccard-classes",
+        )
+
+
+def one_of_each_group(
+    docs: DataFrame,
+    *,
+    words: int = 5,
+    percent: int = 80,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``docs`` that lead their group or are in none, with their columns.
+
+    The row with the smallest identifier leads, nulls last; of rows that share it the one
+    with the smallest text hash; of repeated rows one. Null and blank texts are in no group.
+    """
+    spark = docs.sparkSession
+    names = [f"_{place}" for place in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    doc_id = F.col(names[docs.columns.index(id_column)])
+    text = F.coalesce(F.col(names[docs.columns.index(text_column)]).cast("string"), F.lit(""))
+    groups = _classes(docs, words, percent, id_column, text_column)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_key"))
+    leaders = groups.filter("component IS NOT NULL").groupBy("component").agg(
+        F.min(order).alias("leader")
+    )
+    with Stages(spark) as stages:
+        leaders = stages(leaders, "jaccard-leaders")
+        gone = stages.keep(
+            groups.join(leaders, "component")
+            .filter(order != F.col("leader"))
+            .select(F.struct("doc_id", "text_key").alias("doc"))
+            .distinct(),
+            "jaccard-gone",
+        )
+        again = stages.keep(
+            groups.filter("n > 0")
+            .groupBy(F.struct("doc_id", "text_key").alias("doc"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .filter("rows > 1")
+            .select("doc"),
+            "jaccard-again",
         )
+    keyed = plain.withColumn("doc", F.struct(doc_id.alias("doc_id"), F.xxhash64(text).alias("text_key")))
+    left = keyed.join(gone, "doc", "left_anti")
+    repeated = left.join(again, "doc", "left_semi").dropDuplicates(["doc"])
+    once = left.join(again, "doc", "left_anti")
+    return once.unionByName(repeated).select(*names).toDF(*docs.columns)
