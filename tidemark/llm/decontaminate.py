@@ -40,34 +40,46 @@ def token_hashes(text: Column) -> Column:
 
 
 def _windows(tokens: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """Adds ``at`` and ``seed``, the hash under each mask of the window that begins there."""
-    span = len(masks[0])
-    starts = F.when(
-        F.size("tokens") >= span, F.sequence(F.lit(0), F.size("tokens") - span)
-    ).otherwise(F.array().cast("array<int>"))
-    placed = tokens.select("*", F.explode(starts).alias("at"))
-    seeds = [
-        F.xxhash64(
-            F.lit(mask),
-            *[F.get("tokens", F.col("at") + place) for place, kept in enumerate(mask) if kept == "1"],
-        )
-        for mask in masks
-    ]
-    return placed.select("*", F.explode(F.array(*seeds)).alias("seed"))
+    """A row per window and mask: the columns but ``tokens``, and ``at`` and ``seed``, the
+    hash of the tokens that the mask keeps from there. Token arrays are not copied along."""
+    span, kinds = len(masks[0]), len(masks)
+
+    def seed(number: Column) -> Column:
+        start = F.floor(number / kinds).cast("int")
+        keys = [
+            F.xxhash64(
+                F.lit(mask),
+                *[F.get("tokens", start + place) for place, kept in enumerate(mask) if kept == "1"],
+            )
+            for mask in masks
+        ]
+        chosen = keys[-1]
+        for place, key in reversed(list(enumerate(keys[:-1]))):
+            chosen = F.when(number % kinds == place, key).otherwise(chosen)
+        return chosen
+
+    numbers = F.sequence(F.lit(0), (F.size("tokens") - span + 1) * kinds - 1)
+    seeds = F.when(F.size("tokens") >= span, F.transform(numbers, seed))
+    others = [name for name in tokens.columns if name != "tokens"]
+    narrow = tokens.select(*others, seeds.alias("seeds"))
+    # The outer form, as the other would compute all seeds once more to drop empty arrays.
+    placed = narrow.select(*others, F.posexplode_outer("seeds").alias("number", "seed"))
+    at = F.floor(F.col("number") / kinds).cast("int").alias("at")
+    return placed.filter(F.col("seed").isNotNull()).select(*others, at, "seed")
 
 
 def _best_overlap(seeds: Seeds, span: int) -> Column:
-    """Of the aligned stretches that hold the hit: most agreeing tokens, and where it begins
-    in the document. Positions that either side lacks do not agree."""
+    """Of the aligned stretches that hold a hit between ``first_at`` and ``last_at`` of the
+    item: most agreeing tokens, and minus the place where the first such begins in the
+    document. Positions that either side lacks do not agree."""
     width = F.least(F.lit(seeds.window), F.size("item_tokens"))
-    shift = F.col("at") - F.col("item_at")
-    first = F.greatest(F.col("item_at") + span - width, F.lit(0))
-    last = F.least(F.col("item_at"), F.size("item_tokens") - width)
+    shift = F.col("shift")
+    first = F.greatest(F.col("first_at") + span - width, F.lit(0))
+    last = F.least(F.col("last_at"), F.size("item_tokens") - width)
 
     def agreeing(begin: Column) -> Column:
-        positions = F.sequence(begin, begin + width - 1)
         same = F.filter(
-            positions,
+            F.sequence(begin, begin + width - 1),
             lambda p: F.when(
                 p + shift >= 0, F.get("tokens", p + shift) == F.get("item_tokens", p)
             ).otherwise(False),
@@ -88,16 +100,21 @@ def overlaps(
     item_text_column: str = "text",
 ) -> DataFrame:
     """``text_key, item_id, start, end, agreeing``: verified overlaps, in tokens of the text
-    that ``text_key`` (its SHA-256) names."""
+    that ``text_key`` (its SHA-256) names.
+
+    Windows join by hash with nothing but a number for their text. The few texts with hits
+    are then read again, once each, to compare tokens; a number that two texts share only
+    adds a comparison that fails.
+    """
     texts = pick(docs, text_column).toDF("text").select(
-        F.unhex(F.sha2(text_or_empty(), 256)).alias("text_key"),
-        token_hashes(text_or_empty()).alias("tokens"),
+        F.xxhash64(text_or_empty()).alias("number_of"), text_or_empty().alias("text")
     )
-    items = (
+    items = stages(
         pick(benchmark, item_column, item_text_column)
         .toDF("item_id", "text")
         .select("item_id", token_hashes(text_or_empty()).alias("item_tokens"))
-        .filter(F.size("item_tokens") >= seeds.least)
+        .filter(F.size("item_tokens") >= seeds.least),
+        "benchmark-items",
     )
     short = items.filter(F.size("item_tokens") < seeds.span)
     # An item shorter than the masks is one window without gaps of its own length.
@@ -107,24 +124,55 @@ def overlaps(
         span = len(masks[0])
         own = items if span == seeds.span else items.filter(F.size("item_tokens") == span)
         test = stages(
-            _windows(own.withColumn("tokens", F.col("item_tokens")), masks).select(
-                "seed", "item_id", F.col("at").alias("item_at"), "item_tokens"
+            _windows(own.withColumnRenamed("item_tokens", "tokens"), masks).select(
+                "seed", "item_id", F.col("at").alias("item_at")
             ),
             "benchmark-windows",
         )
         if test.count() <= seeds.broadcast_rows:
             test = F.broadcast(test)
-        hits = _windows(texts, masks).join(test, "seed")
+        tokens = texts.select("number_of", token_hashes(F.col("text")).alias("tokens"))
+        hits = (
+            _windows(tokens, masks)
+            .join(test, "seed")
+            .groupBy("number_of", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+            .agg(F.min("item_at").alias("first_at"), F.max("item_at").alias("last_at"))
+        )
+        hit = F.struct("item_id", "shift", "first_at", "last_at")
+        by_text = stages(
+            hits.groupBy("number_of").agg(F.collect_list(hit).alias("hits")), "seed-hits"
+        )
         needed = F.least(F.lit(seeds.window), F.size("item_tokens"))
-        found.append(
-            hits.withColumn("best", _best_overlap(seeds, span))
-            .filter(100 * F.col("best.agreeing") >= seeds.percent * needed)
+        compared = (
+            texts.join(by_text, "number_of")
             .select(
+                F.unhex(F.sha2("text", 256)).alias("text_key"),
+                token_hashes(F.col("text")).alias("tokens"),
+                "hits",
+            )
+            .select("text_key", "tokens", F.explode("hits").alias("hit"))
+            .select("text_key", "tokens", "hit.*")
+            .join(own, "item_id")
+            .withColumn("best", _best_overlap(seeds, span))
+        )
+        found.append(
+            compared.filter(100 * F.col("best.agreeing") >= seeds.percent * needed).select(
                 "text_key",
                 "item_id",
                 F.greatest(-F.col("best.before"), F.lit(0)).alias("start"),
                 (-F.col("best.before") + needed).alias("end"),
+                F.least(
+                    F.greatest(F.col("last_at") + span, needed - F.col("best.before") - F.col("shift")),
+                    F.size("item_tokens"),
+                ).alias("until"),
+                F.col("shift"),
                 F.col("best.agreeing").alias("agreeing"),
+            ).select(
+                "text_key",
+                "item_id",
+                "start",
+                F.greatest("end", F.col("until") + F.col("shift")).alias("end"),
+                "agreeing",
             )
         )
     every = found[0]

@@ -34,8 +34,9 @@ def document_key() -> Column:
 
 def _positions(rows: DataFrame) -> DataFrame:
     """``doc, at, words, line, check``: a row per line, known by 96 bits of hashes."""
+    # The outer form, as the other would split all texts once more to drop empty arrays.
     lines = rows.select(
-        document_key(), F.posexplode(text_lines(F.col("text"))).alias("at", "line")
+        document_key(), F.posexplode_outer(text_lines(F.col("text"))).alias("at", "line")
     ).withColumn("line", F.btrim("line", F.lit(BLANK)))
     return lines.filter("line <> ''").select(
         "doc",

@@ -181,8 +181,8 @@ def nearby_terms(found: DataFrame, settings: Disclosure = Disclosure()) -> DataF
     word = rf"(?<=[^\p{{L}}])\p{{L}}{{{settings.letters},}}+(?=[^\p{{L}}])"
     words = near.select(
         "doc_id", "digest", "entity", "first",
-        F.explode(located(F.col("context"), word)).alias("word"),
-    )
+        F.explode_outer(located(F.col("context"), word)).alias("word"),
+    ).filter(F.col("word").isNotNull())
     return words.select(
         "doc_id",
         "digest",
@@ -212,12 +212,13 @@ def disclosing_terms(
         "disclosing-pairs",
     )
     word = rf"\p{{L}}{{{settings.letters},}}+"
+    # The outer form, as the other would find all words once more to drop empty arrays.
     words = found.select(
-        F.explode(
+        F.explode_outer(
             F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(word), F.lit(0)))
         ).alias("term")
     )
-    frequency = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    frequency = words.filter("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     entities = (
         found.select("doc_id", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
         .groupBy("entity")
