@@ -144,7 +144,7 @@ def overlaps(
         )
         needed = F.least(F.lit(seeds.window), F.size("item_tokens"))
         compared = (
-            texts.join(by_text, "number_of")
+            texts.join(by_text.hint("shuffle_hash"), "number_of")
             .select(
                 F.unhex(F.sha2("text", 256)).alias("text_key"),
                 token_hashes(F.col("text")).alias("tokens"),
@@ -243,4 +243,5 @@ def clean_documents(
     plain = docs.toDF(*[f"_{place}" for place in range(len(docs.columns))])
     text = F.coalesce(F.col(f"_{docs.columns.index(text_column)}").cast("string"), F.lit(""))
     keyed = plain.withColumn("text_key", F.unhex(F.sha2(text, 256)))
+    dirty = dirty.hint("shuffle_hash")
     return keyed.join(dirty, "text_key", "left_anti").select(*plain.columns).toDF(*docs.columns)

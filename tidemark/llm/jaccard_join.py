@@ -512,7 +512,7 @@ def _classes(
             .select("text_key"),
             "jaccard-able",
         )
-        once = texts.join(able, "text_key", "left_semi")
+        once = texts.join(able.hint("shuffle_hash"), "text_key", "left_semi")
         sets = stages(
             once.mapInArrow(
                 _sets(words, True), identifier + NARROW + ", tokens array<long>"
@@ -576,7 +576,7 @@ def one_of_each_group(
             "jaccard-again",
         )
     keyed = plain.withColumn("doc", F.struct(doc_id.alias("doc_id"), F.xxhash64(text).alias("text_key")))
-    left = keyed.join(gone, "doc", "left_anti")
+    left = keyed.join(gone.hint("shuffle_hash"), "doc", "left_anti")
     repeated = left.join(again, "doc", "left_semi").dropDuplicates(["doc"])
     once = left.join(again, "doc", "left_anti")
     return once.unionByName(repeated).select(*names).toDF(*docs.columns)

@@ -194,7 +194,8 @@ def deduplicate_lines(
             F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text_key"),
         ).alias("doc"),
     )
-    joined = keyed.join(cuts, "doc", "left")
+    # One plan for all sizes: texts are hashed to their cuts and not sorted.
+    joined = keyed.join(cuts.hint("shuffle_hash"), "doc", "left")
     shortened = F.when(F.col("cut").isNull(), F.col(text)).otherwise(
         _without(F.col(text), F.col("cut"))
     )
