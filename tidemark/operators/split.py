@@ -35,6 +35,21 @@ def label_split(
     return labelled.drop("_bounds")
 
 
+def part_rows(df: DataFrame, bounds: DataFrame, *parts: str, date: str = DATE) -> DataFrame:
+    """Rows of adjacent parts by plain date ranges, which reach the scan; labels do not."""
+    starts = {"val": bounds.select("val_start").scalar(), "test": bounds.select("test_start").scalar()}
+    wanted = [PARTS.index(part) for part in parts]
+    if sorted(wanted) != list(range(min(wanted), max(wanted) + 1)):
+        raise ValueError(f"Parts are not adjacent: {parts}")
+    first, after = min(wanted), max(wanted) + 1
+    rows = df.filter(F.col(date).isNotNull())
+    if first:
+        rows = rows.filter(F.col(date) >= starts[PARTS[first]])
+    if after < len(PARTS):
+        rows = rows.filter(F.col(date) < starts[PARTS[after]])
+    return rows
+
+
 def split_counts(labelled: DataFrame) -> DataFrame:
     return labelled.groupBy("split").agg(F.count(F.lit(1)).alias("row_count"))
 

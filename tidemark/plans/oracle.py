@@ -342,6 +342,27 @@ _SELECTS = {
               * rolling_4w_median, 6) AS restored_volume
         FROM based WHERE rolling_4w_median > 0""",
     "split_bounds": "SELECT max_date, test_start, val_start FROM bounds",
+    "split_sufficiency": """SELECT lookback_days, train_rows, val_rows, test_rows,
+        least(train_rows, val_rows, test_rows) > 0 AS sufficient
+        FROM (SELECT lookback_days,
+                count(*) FILTER (WHERE event_date < last_date - 83) AS train_rows,
+                count(*) FILTER (WHERE event_date >= last_date - 83
+                                   AND event_date < last_date - 41) AS val_rows,
+                count(*) FILTER (WHERE event_date >= last_date - 41) AS test_rows
+              FROM (SELECT lookback_days, event_date,
+                           max(event_date) OVER (PARTITION BY lookback_days) AS last_date
+                    FROM refined, (VALUES (730), (70), (30)) AS lookbacks(lookback_days)
+                    WHERE event_date >= DATE '2001-11-04' - lookback_days)
+              GROUP BY lookback_days)""",
+    "model_features": f"""UNPIVOT (
+        SELECT client_name, event_date, {_WAVES},
+          round(CAST(is_china AS DOUBLE), 9) AS is_china,
+          round(CAST(is_domestic AS DOUBLE), 9) AS is_domestic,
+          round(CAST(event_month_start AS DOUBLE), 9) AS event_month_start,
+          round(CAST(event_christmas_day AS DOUBLE), 9) AS event_christmas_day,
+          round(CAST(event_black_friday AS DOUBLE), 9) AS event_black_friday
+        FROM refined) ON COLUMNS(* EXCLUDE (client_name, event_date))
+        INTO NAME feature VALUE value""",
     "split_counts": "SELECT split, count(*) AS row_count FROM labelled GROUP BY split",
     "split_rows": "SELECT client_name, event_date, split FROM labelled ORDER BY event_date",
     "naive_smape_by_split": """SELECT split, count(*) AS row_count,

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import replace
 from datetime import date
+from functools import reduce
 from uuid import uuid4
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.config import ACTUAL, BASELINE, CLIENT, DATE, TARGET, Settings
@@ -20,9 +23,11 @@ from tidemark.operators.features import (
     feature_columns,
     restore_volume,
 )
-from tidemark.operators.guardrail import judge_volume
+from tidemark.operators.guardrail import guardrail as volume_guardrail
 from tidemark.operators.metrics import evaluation, smape_by_split
 from tidemark.operators.model import (
+    VECTOR,
+    assembler,
     fit_forecaster,
     forecast,
     load_model,
@@ -48,6 +53,8 @@ SETTINGS = Settings(as_of=AS_OF, min_client_median=30.0, max_eval_hours=12.0)
 GBT_SETTINGS = Settings(as_of=AS_OF, trees=5, fit_partitions=8)
 # Guardrail expectations as tenths of the client-days inside the lookback.
 EXPECTED_TENTHS = (0, 10, 15, 30)
+# Lookbacks of the sufficiency check; the last two are shorter than the test windows.
+LOOKBACKS = (730, 70, 30)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,16 +71,19 @@ def _refined(spark: SparkSession, folder: str) -> DataFrame:
     return stage(refined_client_days(spark, folder, SETTINGS), "refined")
 
 
-def _scored(spark: SparkSession, folder: str) -> DataFrame:
-    """The naive forecast over the prepared client-days."""
-    return naive_forecast(prepare(_refined(spark, folder), SETTINGS))
+def _scored(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The naive forecast over the prepared client-days, and the bounds of the split."""
+    refined = _refined(spark, folder)
+    return naive_forecast(prepare(refined, SETTINGS)), split.split_bounds(refined, SETTINGS)
 
 
 def _train_and_test_cohorts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    scored = _scored(spark, folder)
-    cutpoints = cohorts.cohort_cutpoints(scored.filter(F.col("split") == "train"), SETTINGS)
-    test = scored.filter(F.col("split") == "test")
-    return scored, cohorts.label_cohorts(test, cutpoints, SETTINGS)
+    """Scored validation and test rows, and the labelled test rows."""
+    scored, bounds = _scored(spark, folder)
+    cutpoints = cohorts.cohort_cutpoints(split.part_rows(scored, bounds, "train"), SETTINGS)
+    test = split.part_rows(scored, bounds, "test")
+    judged = split.part_rows(scored, bounds, "val", "test")
+    return judged, cohorts.label_cohorts(test, cutpoints, SETTINGS)
 
 
 def _ledger(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +102,7 @@ def _decided(
     ledger = cohorts.cohort_ledger(test, SETTINGS)
     if staged:
         ledger = stage(ledger, "ledger")
-    accuracy = evaluation(scored.filter(F.col("split") != "train"))
+    accuracy = evaluation(scored)
     decided = governance.decide_promotion(
         _gated_runs(spark, folder), accuracy, cohorts.gate_verdict(ledger), SETTINGS
     )
@@ -185,16 +195,32 @@ def refine_drop_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def guardrail(spark: SparkSession, folder: str) -> DataFrame:
-    canonical = project_canonical(_baselined(spark, folder), SETTINGS)
-    inside = F.col(DATE).between(cutoff_date(SETTINGS), F.lit(AS_OF))
-    trainable = inside & (F.col(ACTUAL) > 0) & (F.col(BASELINE) > SETTINGS.min_baseline)
-    counted = canonical.agg(
-        F.count_if(trainable).alias("valid_rows"), F.count_if(inside).alias("candidates")
+    """The verdict on the refined rows under several expectations."""
+    refined = _refined(spark, folder)
+    candidates = _baselined(spark, folder).filter(
+        F.col(DATE).between(cutoff_date(SETTINGS), F.lit(AS_OF))
     )
-    tenths = F.explode(F.array(*[F.lit(step) for step in EXPECTED_TENTHS])).alias("tenths")
-    expected = F.floor(F.col("candidates") * F.col("tenths") / 10).alias("expected_row_count")
-    counts = counted.select("*", tenths).select("valid_rows", expected)
-    return _rounded(judge_volume(counts, SETTINGS), ["drop_frac"], 9)
+    inside = candidates.count()
+    verdicts = [
+        volume_guardrail(refined, replace(SETTINGS, expected_rows=inside * tenths // 10))
+        for tenths in EXPECTED_TENTHS
+    ]
+    return _rounded(reduce(DataFrame.unionByName, verdicts), ["drop_frac"], 9)
+
+
+def split_sufficiency(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by part, and whether all parts have some, for a long and two short lookbacks."""
+    checked = []
+    for days in LOOKBACKS:
+        settings = replace(SETTINGS, lookback_days=days)
+        labelled = split.label_split(
+            stage(refined_client_days(spark, folder, settings), "refined"), settings
+        )
+        counts = {f"{part}_rows": F.count_if(F.col("split") == part) for part in split.PARTS}
+        counted = labelled.agg(*[count.alias(name) for name, count in counts.items()])
+        enough = F.least(*counts) > 0
+        checked.append(counted.select(F.lit(days).alias("lookback_days"), "*", enough.alias("sufficient")))
+    return reduce(DataFrame.unionByName, checked)
 
 
 def violations(spark: SparkSession, folder: str) -> DataFrame:
@@ -256,17 +282,17 @@ def split_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def naive_smape_by_split(spark: SparkSession, folder: str) -> DataFrame:
-    result = smape_by_split(_scored(spark, folder))
+    result = smape_by_split(_scored(spark, folder)[0])
     return _rounded(result, ["smape_target", "smape_volume", "smape_naive"], 6)
 
 
 def run_accuracy(spark: SparkSession, folder: str) -> DataFrame:
-    result = evaluation(_scored(spark, folder))
+    result = evaluation(_scored(spark, folder)[0])
     return _rounded(result, result.columns, 6)
 
 
 def cohort_cutpoints(spark: SparkSession, folder: str) -> DataFrame:
-    train = _scored(spark, folder).filter(F.col("split") == "train")
+    train = split.part_rows(*_scored(spark, folder), "train")
     return _rounded(cohorts.cohort_cutpoints(train, SETTINGS), cohorts.CUTS, 9)
 
 
@@ -390,14 +416,28 @@ def run_gate_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 # Model
 
 
+def model_features(spark: SparkSession, folder: str) -> DataFrame:
+    """The assembled vector of every row, flattened to one row per inferred feature."""
+    prepared = prepare(_refined(spark, folder), SETTINGS)
+    names = feature_columns(prepared.columns)
+    vectors = assembler(names).transform(prepared).select(
+        CLIENT, DATE, F.posexplode(vector_to_array(F.col(VECTOR))).alias("place", "value")
+    )
+    feature = F.array(*[F.lit(name) for name in names])[F.col("place")].alias("feature")
+    return _rounded(vectors.select(CLIENT, DATE, feature, "value"), ["value"], 9)
+
+
 def gbt_forecast(spark: SparkSession, folder: str) -> DataFrame:
     """Fit, save, reload and score validation and test rows."""
-    prepared = prepare(_refined(spark, folder), GBT_SETTINGS)
+    refined = _refined(spark, folder)
+    bounds = split.split_bounds(refined, GBT_SETTINGS)
+    prepared = prepare(refined, GBT_SETTINGS)
     features = feature_columns(prepared.columns)
-    model = fit_forecaster(prepared.filter(F.col("split") == "train"), features, GBT_SETTINGS)
+    train = split.part_rows(prepared, bounds, "train")
+    model = fit_forecaster(train, features, GBT_SETTINGS)
     path = stage_path(spark, "model")
     save_model(model, path)
-    scored = forecast(load_model(path), prepared.filter(F.col("split") != "train"))
+    scored = forecast(load_model(path), split.part_rows(prepared, bounds, "val", "test"))
     return scored.select(CLIENT, DATE, "split", ACTUAL, "pred_log", "pred_volume")
 
 
@@ -422,6 +462,8 @@ QUERIES: dict[str, Query] = {
     "uplift_roundtrip": uplift_roundtrip,
     "split_bounds": split_bounds,
     "split_counts": split_counts,
+    "split_sufficiency": split_sufficiency,
+    "model_features": model_features,
     "split_rows": split_rows,
     "naive_smape_by_split": naive_smape_by_split,
     "run_accuracy": run_accuracy,

@@ -11,7 +11,7 @@ from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.config import Settings
 from tidemark.operators.clients import restrict_clients
@@ -23,7 +23,7 @@ from tidemark.operators.metrics import evaluation
 from tidemark.operators.model import fit_forecaster, forecast, save_model
 from tidemark.operators.refine import refine
 from tidemark.operators.report import build_report, judge_report
-from tidemark.operators.split import require_all_parts
+from tidemark.operators.split import part_rows, require_all_parts, split_bounds
 from tidemark.operators.validate import validate_input
 from tidemark.plans.forecast import prepare
 from tidemark.sinks import (
@@ -89,16 +89,17 @@ def run_training(
     validate_input(refined)
 
     prepared = prepare(refined, settings)
+    bounds = split_bounds(refined, settings)
     features = feature_columns(prepared.columns, settings.feature_columns)
     sizes = require_all_parts(prepared)
-    train = prepared.filter(F.col("split") == "train")
+    train = part_rows(prepared, bounds, "train")
     ready = _now()
 
     model = fit_forecaster(train, features, settings)
-    scored = stage(forecast(model, prepared.filter(F.col("split") != "train")), "scored")
+    scored = stage(forecast(model, part_rows(prepared, bounds, "val", "test")), "scored")
     accuracy = stage(evaluation(scored), "evaluation")
     cutpoints = stage(cohort_cutpoints(train, settings), "cutpoints")
-    test = label_cohorts(scored.filter(F.col("split") == "test"), cutpoints, settings)
+    test = label_cohorts(part_rows(scored, bounds, "test"), cutpoints, settings)
     ledger = stage(cohort_ledger(test, settings), "ledger")
     save_model(model, f"{out_dir}/models/{run_id}")
     finished = _now()
