@@ -406,7 +406,12 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_stages(spark: SparkSession, folder: str) -> DataFrame:
-    return report.stage_summary(_reported(spark, folder)[0])
+    """With the evidence that the refined and prepared rows give."""
+    drops = drop_counts(_baselined(spark, folder), SETTINGS).first()
+    prepared = prepare(_refined(spark, folder), SETTINGS)
+    sizes = split.require_all_parts(prepared)
+    evidence = report.run_evidence(drops, sizes, len(feature_columns(prepared.columns)))
+    return report.stage_summary(_reported(spark, folder)[0], evidence)
 
 
 def run_gate_snapshot(spark: SparkSession, folder: str) -> DataFrame:

@@ -21,10 +21,10 @@ from tidemark.operators.governance import RUN_MODES, RUN_SCHEMA, decide_promotio
 from tidemark.operators.guardrail import enforce_guardrail, guardrail
 from tidemark.operators.metrics import evaluation
 from tidemark.operators.model import fit_forecaster, forecast, save_model
-from tidemark.operators.refine import refine
-from tidemark.operators.report import build_report, judge_report
+from tidemark.operators.refine import drop_counts, refine
+from tidemark.operators.report import build_report, judge_report, run_evidence
 from tidemark.operators.split import part_rows, require_all_parts, split_bounds
-from tidemark.operators.validate import validate_input
+from tidemark.operators.validate import validate_input, validate_inverse_input, validate_target_input
 from tidemark.plans.forecast import prepare
 from tidemark.sinks import (
     append_records,
@@ -81,12 +81,15 @@ def run_training(
     rows = require_rows(load(spark, source), f"{source} is empty.")
     if champions is not None or filter_clients:
         rows = restrict_clients(project_canonical(rows, settings), champions, settings)
+    drops = drop_counts(rows, settings).first()
     refined = stage(refine(rows, settings), "refined")
     require_rows(refined, f"Refinement removed every row of {source}.")
     volume = guardrail(refined, settings)
     if kind == "table":
         enforce_guardrail(volume)
     validate_input(refined)
+    validate_target_input(refined)
+    validate_inverse_input(refined)
 
     prepared = prepare(refined, settings)
     bounds = split_bounds(refined, settings)
@@ -112,7 +115,10 @@ def run_training(
     decision = stage(
         decide_promotion(gated, accuracy, gate_verdict(ledger), settings, mode), "decision"
     )
-    report = build_report(judge_report(decision, settings), ledger, settings, source=source)
+    report = build_report(
+        judge_report(decision, settings), ledger, settings,
+        source=source, evidence=run_evidence(drops, sizes, len(features)),
+    )
 
     parameters = run_parameters(
         decision, settings, source=source, source_kind=kind, feature_count=len(features)
