@@ -130,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_kneser_ney": op10_kneser_ney,
 }
 
+#: The checksum is computed byte by byte from its table of steps.
 ORACLE_SQL: dict[str, str] = {
     "op2_token_rollup": r"""
         WITH kept AS (
@@ -159,4 +160,32 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents
         WINDOW g AS (PARTITION BY coalesce(text, ''))
     """,
+    "op9_rendezvous": """
+        WITH crc AS (
+            SELECT list_transform(range(0, 256), lambda i: list_reduce(
+                list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+            )) AS steps
+        ),
+        bytes AS (
+            SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+                   list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                                  lambda pair: CAST('0x' || pair AS BIGINT)) AS content,
+                   list_transform(range(0, 41), lambda shard: CAST('0x' || substr(md5(
+                       coalesce(CAST(doc_id AS VARCHAR), '') || ':' || shard), 1, 13) AS BIGINT)) AS draws
+            FROM documents
+        ),
+        rows AS (
+            SELECT doc_id, size,
+                   xor(4294967295, list_reduce(list_concat([4294967295], content),
+                       lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS text_crc32,
+                   list_position(draws[:40], list_max(draws[:40])) - 1 AS shard,
+                   list_position(draws, list_max(draws)) - 1 AS grown_shard
+            FROM bytes, crc
+        )
+        SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot,
+               grown_shard
+        FROM rows
+    """,
 }
