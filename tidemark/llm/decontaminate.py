@@ -2,12 +2,15 @@
 
 A seed is a fixed mask over a window of tokens. Hashes of the positions that it keeps join
 windows of training documents with windows of test items, so that a hit survives other tokens
-at the positions that it ignores. Around each hit the aligned tokens are compared.
+at the positions that it ignores. An item's mask finds every pattern of changes that its
+overlaps allow. Around each hit the aligned tokens are compared.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -17,20 +20,41 @@ from tidemark.staging import Stages
 
 @dataclass(frozen=True)
 class Seeds:
-    """``masks`` of one length, 1 for a position that counts; an overlap is ``window`` aligned
-    tokens (the whole item if shorter) of which ``percent`` of 100 agree. Items of fewer than
-    ``least`` tokens are too common to tell anything and match nothing. Up to
-    ``broadcast_rows`` test windows are sent to all tasks, more are joined by shuffling."""
+    """An overlap is ``window`` aligned tokens (the whole item if shorter) of which ``percent``
+    of 100 agree; items of fewer than ``least`` tokens must agree as a whole. Of ``masks``, 1
+    for a position that counts, an item has the first that loses no overlap (``mask_of``). Up
+    to ``broadcast_rows`` test windows are sent to all tasks, more are joined by shuffling."""
 
-    masks: tuple[str, ...] = ("110110101101", "101111001011")
+    masks: tuple[str, ...] = ("10111", "1011")
     window: int = 16
     percent: int = 80
     least: int = 6
     broadcast_rows: int = 1_000_000
 
-    @property
-    def span(self) -> int:
-        return len(self.masks[0])
+
+def finds_all(mask: str, length: int, changes: int) -> bool:
+    """Whether any ``changes`` of ``length`` aligned tokens leave the mask a place to hit."""
+    kept = [place for place, bit in enumerate(mask) if bit == "1"]
+    places = [{at + place for place in kept} for at in range(length - len(mask) + 1)]
+    return bool(places) and all(
+        any(hit.isdisjoint(changed) for hit in places)
+        for changed in combinations(range(length), changes)
+    )
+
+
+@lru_cache
+def mask_of(seeds: Seeds, length: int) -> str:
+    """The mask of items whose overlaps are ``length`` tokens, ``window`` at most. If none of
+    the set finds all, it is a run without gaps: of the tokens that agree, so many are
+    neighbours in any case."""
+    if length < seeds.least:
+        return "1" * length
+    agreeing = max(1, -(-length * seeds.percent // 100))
+    changes = length - agreeing
+    for mask in seeds.masks:
+        if finds_all(mask, length, changes):
+            return mask
+    return "1" * -(-agreeing // (changes + 1))
 
 
 def token_hashes(text: Column) -> Column:
@@ -39,27 +63,31 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda word: F.xxhash64(word))
 
 
-def _windows(tokens: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """A row per window and mask: the columns but ``tokens``, and ``at`` and ``seed``, the
-    hash of the tokens that the mask keeps from there. Token arrays are not copied along."""
-    span, kinds = len(masks[0]), len(masks)
+def _windows(tokens: DataFrame, masks: list[str], own: Column | None = None) -> DataFrame:
+    """A row per window and mask (the one numbered ``own`` only, if given): the columns but
+    ``tokens``, and ``at`` and ``seed``, the hash of the tokens that the mask keeps from
+    there. Token arrays are not copied along."""
+    kinds = len(masks)
 
     def seed(number: Column) -> Column:
         start = F.floor(number / kinds).cast("int")
         keys = [
-            F.xxhash64(
-                F.lit(mask),
-                *[F.get("tokens", start + place) for place, kept in enumerate(mask) if kept == "1"],
+            F.when(
+                start + len(mask) <= F.size("tokens"),
+                F.xxhash64(
+                    F.lit(mask),
+                    *[F.get("tokens", start + place) for place, kept in enumerate(mask) if kept == "1"],
+                ),
             )
             for mask in masks
         ]
         chosen = keys[-1]
         for place, key in reversed(list(enumerate(keys[:-1]))):
             chosen = F.when(number % kinds == place, key).otherwise(chosen)
-        return chosen
+        return chosen if own is None else F.when(number % kinds == own, chosen)
 
-    numbers = F.sequence(F.lit(0), (F.size("tokens") - span + 1) * kinds - 1)
-    seeds = F.when(F.size("tokens") >= span, F.transform(numbers, seed))
+    numbers = F.sequence(F.lit(0), F.size("tokens") * kinds - 1)
+    seeds = F.when(F.size("tokens") > 0, F.transform(numbers, seed))
     others = [name for name in tokens.columns if name != "tokens"]
     narrow = tokens.select(*others, seeds.alias("seeds"))
     # The outer form, as the other would compute all seeds once more to drop empty arrays.
@@ -68,25 +96,29 @@ def _windows(tokens: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     return placed.filter(F.col("seed").isNotNull()).select(*others, at, "seed")
 
 
-def _best_overlap(seeds: Seeds, span: int) -> Column:
-    """Of the aligned stretches that hold a hit between ``first_at`` and ``last_at`` of the
-    item: most agreeing tokens, and minus the place where the first such begins in the
-    document. Positions that either side lacks do not agree."""
+def _stretches(seeds: Seeds) -> Column:
+    """The aligned stretches that hold a hit between ``first_at`` and ``last_at`` of the item:
+    agreeing tokens, minus the place where the stretch begins in the document, and where it
+    begins in the item. Positions that either side lacks do not agree."""
     width = F.least(F.lit(seeds.window), F.size("item_tokens"))
     shift = F.col("shift")
-    first = F.greatest(F.col("first_at") + span - width, F.lit(0))
+    first = F.greatest(F.col("first_at") + F.col("span") - width, F.lit(0))
     last = F.least(F.col("last_at"), F.size("item_tokens") - width)
 
-    def agreeing(begin: Column) -> Column:
+    def stretch(begin: Column) -> Column:
         same = F.filter(
             F.sequence(begin, begin + width - 1),
             lambda p: F.when(
                 p + shift >= 0, F.get("tokens", p + shift) == F.get("item_tokens", p)
             ).otherwise(False),
         )
-        return F.struct(F.size(same).alias("agreeing"), (-(begin + shift)).alias("before"))
+        return F.struct(
+            F.size(same).alias("agreeing"),
+            (-(begin + shift)).alias("before"),
+            begin.alias("begin"),
+        )
 
-    return F.array_max(F.transform(F.sequence(first, F.greatest(first, last)), agreeing))
+    return F.transform(F.sequence(first, F.greatest(first, last)), stretch)
 
 
 def overlaps(
@@ -113,72 +145,73 @@ def overlaps(
         pick(benchmark, item_column, item_text_column)
         .toDF("item_id", "text")
         .select("item_id", token_hashes(text_or_empty()).alias("item_tokens"))
-        .filter(F.size("item_tokens") >= seeds.least),
+        .filter(F.size("item_tokens") > 0),
         "benchmark-items",
     )
-    short = items.filter(F.size("item_tokens") < seeds.span)
-    # An item shorter than the masks is one window without gaps of its own length.
-    lengths = [row[0] for row in short.select(F.size("item_tokens")).distinct().collect()]
-    found = []
-    for masks in [seeds.masks, *[("1" * length,) for length in sorted(lengths)]]:
-        span = len(masks[0])
-        own = items if span == seeds.span else items.filter(F.size("item_tokens") == span)
-        test = stages(
-            _windows(own.withColumnRenamed("item_tokens", "tokens"), masks).select(
-                "seed", "item_id", F.col("at").alias("item_at")
-            ),
-            "benchmark-windows",
-        )
-        if test.count() <= seeds.broadcast_rows:
-            test = F.broadcast(test)
-        tokens = texts.select("number_of", token_hashes(F.col("text")).alias("tokens"))
-        hits = (
-            _windows(tokens, masks)
-            .join(test, "seed")
-            .groupBy("number_of", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
-            .agg(F.min("item_at").alias("first_at"), F.max("item_at").alias("last_at"))
-        )
-        hit = F.struct("item_id", "shift", "first_at", "last_at")
-        by_text = stages(
-            hits.groupBy("number_of").agg(F.collect_list(hit).alias("hits")), "seed-hits"
-        )
-        needed = F.least(F.lit(seeds.window), F.size("item_tokens"))
-        compared = (
-            texts.join(by_text.hint("shuffle_hash"), "number_of")
-            .select(
-                F.unhex(F.sha2("text", 256)).alias("text_key"),
-                token_hashes(F.col("text")).alias("tokens"),
-                "hits",
-            )
-            .select("text_key", "tokens", F.explode("hits").alias("hit"))
-            .select("text_key", "tokens", "hit.*")
-            .join(own, "item_id")
-            .withColumn("best", _best_overlap(seeds, span))
+    width = F.least(F.lit(seeds.window), F.size("item_tokens"))
+    lengths = sorted(row[0] for row in items.select(width).distinct().collect())
+    # Without items one mask is as good as another.
+    masks = sorted({mask_of(seeds, length) for length in lengths}) or ["1"]
+    numbers = {length: masks.index(mask_of(seeds, length)) for length in lengths}
+
+    def by_length(values: dict[int, int]) -> Column:
+        pairs = [F.when(width == length, value) for length, value in values.items()]
+        return F.coalesce(*pairs, F.lit(0))
+
+    items = items.withColumn(
+        "span", by_length({length: len(masks[number]) for length, number in numbers.items()})
+    )
+    test = stages(
+        _windows(
+            items.select("item_id", by_length(numbers).alias("kind"), F.col("item_tokens").alias("tokens")),
+            masks,
+            F.col("kind"),
+        ).select("seed", "item_id", F.col("at").alias("item_at")),
+        "benchmark-windows",
+    )
+    if test.count() <= seeds.broadcast_rows:
+        test = F.broadcast(test)
+    tokens = texts.select("number_of", token_hashes(F.col("text")).alias("tokens"))
+    hits = (
+        _windows(tokens, masks)
+        .join(test, "seed")
+        .groupBy("number_of", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        .agg(F.min("item_at").alias("first_at"), F.max("item_at").alias("last_at"))
+    )
+    hit = F.struct("item_id", "shift", "first_at", "last_at")
+    by_text = stages(
+        hits.groupBy("number_of").agg(F.collect_list(hit).alias("hits")), "seed-hits"
+    )
+    percent = F.when(F.size("item_tokens") < seeds.least, 100).otherwise(seeds.percent)
+    compared = (
+        texts.join(by_text.hint("shuffle_hash"), "number_of")
+        .select(
+            F.unhex(F.sha2("text", 256)).alias("text_key"),
+            token_hashes(F.col("text")).alias("tokens"),
+            "hits",
         )
-        found.append(
-            compared.filter(100 * F.col("best.agreeing") >= seeds.percent * needed).select(
-                "text_key",
-                "item_id",
-                F.greatest(-F.col("best.before"), F.lit(0)).alias("start"),
-                (-F.col("best.before") + needed).alias("end"),
-                F.least(
-                    F.greatest(F.col("last_at") + span, needed - F.col("best.before") - F.col("shift")),
-                    F.size("item_tokens"),
-                ).alias("until"),
-                F.col("shift"),
-                F.col("best.agreeing").alias("agreeing"),
-            ).select(
-                "text_key",
-                "item_id",
-                "start",
-                F.greatest("end", F.col("until") + F.col("shift")).alias("end"),
-                "agreeing",
-            )
+        .select("text_key", "tokens", F.explode("hits").alias("hit"))
+        .select("text_key", "tokens", "hit.*")
+        .join(items, "item_id")
+        .withColumn("needed", width)
+        .withColumn("stretches", _stretches(seeds))
+        .withColumn(
+            "stretches",
+            F.filter("stretches", lambda one: 100 * one["agreeing"] >= percent * F.col("needed")),
         )
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    return every
+        .filter(F.size("stretches") > 0)
+        .withColumn("best", F.array_max("stretches"))
+        .withColumn("last", F.array_max(F.transform("stretches", lambda one: one["begin"])))
+    )
+    # The last hit bounds the overlap, unless it lies beyond the last stretch that agrees.
+    until = F.least(F.col("last_at") + F.col("span"), F.col("last") + F.col("needed"))
+    return compared.select(
+        "text_key",
+        "item_id",
+        F.greatest(-F.col("best.before"), F.lit(0)).alias("start"),
+        F.greatest(-F.col("best.before") + F.col("needed"), until + F.col("shift")).alias("end"),
+        F.col("best.agreeing").alias("agreeing"),
+    )
 
 
 def contamination(
