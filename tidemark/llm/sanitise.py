@@ -1,10 +1,11 @@
 """Personal data: patterns, and terms that give a protected entity away.
 
 Patterns find the protected entities (mail and network addresses, card and phone numbers).
-The corpus then tells how strongly a term near an entity reveals it: the pointwise mutual
-information of both, measured against the information content of the entity, is 1 when the
-term occurs with that entity only. Terms beyond a threshold are generalised, those that are
-next to a substitute for the entity are removed.
+The corpus then tells how strongly a term of the same text reveals an entity: the pointwise
+mutual information of both, measured against the information content of the entity, is 1 when
+the term occurs with that entity only. As most values are unique to a text, entities are also
+counted by what they share (mail domain, network, issuer, number prefix). Terms beyond a
+threshold are generalised, those that are next to a substitute for the entity are removed.
 """
 
 from __future__ import annotations
@@ -39,18 +40,16 @@ SPANS = "array<struct<start:int,end:int,value:string>>"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """``window`` in code points on each side of an entity; shares of the entity's information
-    content from which a term is generalised or removed; least number of different texts in
-    which both occur."""
+    """Shares of the entity's information content from which a term is generalised or removed;
+    least number of different texts in which both occur; fewest letters of a term."""
 
-    window: int = 80
     generalise: float = 0.8
     remove: float = 0.95
     support: int = 3
     letters: int = 3
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """Spans of all matches, in code points: lengths of gaps and matches add up."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
@@ -138,10 +137,29 @@ def find_personal_data(docs: DataFrame, id_column: str, text_column: str) -> Dat
     )
 
 
-def _entity(span: Column) -> Column:
-    digits = F.regexp_replace(span["value"], "[^0-9]", "")
-    plain = F.when(span["kind"].isin("card", "phone"), digits).otherwise(F.lower(span["value"]))
-    return F.concat_ws(":", span["kind"], plain)
+def _entities(spans: Column) -> Column:
+    """The values, and the groups that they belong to: the domain of a mail address, the first
+    two parts of a network address, the first 6 digits of a card and 4 of a phone number."""
+
+    def levels(span: Column) -> Column:
+        digits = F.regexp_replace(span["value"], "[^0-9]", "")
+        number = span["kind"].isin("card", "phone")
+        value = F.when(number, digits).otherwise(F.lower(span["value"]))
+        group = (
+            F.when(span["kind"] == "email", F.substring_index(value, "@", -1))
+            .when(span["kind"] == "ip", F.substring_index(value, ".", 2))
+            .when(span["kind"] == "card", F.substring(value, 1, 6))
+            .otherwise(F.substring(value, 1, 4))
+        )
+        return F.array(
+            F.concat_ws(":", span["kind"], value), F.concat_ws(":", span["kind"], F.lit("in"), group)
+        )
+
+    return F.array_distinct(F.flatten(F.transform(spans, levels)))
+
+
+def _digest() -> Column:
+    return F.sha2("text", 256).alias("digest")
 
 
 def _masked(text: Column, spans: Column) -> Column:
@@ -159,57 +177,57 @@ def _masked(text: Column, spans: Column) -> Column:
     return F.concat(F.lit(" "), blanks, F.lit(" "))
 
 
-def nearby_terms(found: DataFrame, settings: Disclosure = Disclosure()) -> DataFrame:
-    """``doc_id, digest, entity, term, start, end``: whole words around each entity."""
-    with_any = found.filter(F.size("base") > 0)
-    masked = with_any.select(
-        "doc_id",
-        F.sha2("text", 256).alias("digest"),
-        _masked(F.col("text"), F.col("base")).alias("masked"),
-        F.explode("base").alias("span"),
+def recurring_entities(
+    found: DataFrame, stages: Stages, settings: Disclosure = Disclosure()
+) -> DataFrame:
+    """``digest, entity, rows, n_entity``: entities, by text and in rows of it and of the table.
+    Those of fewer texts than ``support`` have no pair that reaches it."""
+    held = stages(
+        found.filter(F.size("base") > 0)
+        .select(_digest(), F.explode(_entities(F.col("base"))).alias("entity"))
+        .groupBy("digest", "entity")
+        .agg(F.count(F.lit(1)).alias("rows")),
+        "entity-texts",
     )
-    # Position p of the text is position p + 1 of the masked one; substring counts from 1.
-    first = F.greatest(F.col("span.start") + 1 - settings.window, F.lit(0))
-    last = F.col("span.end") + 1 + settings.window
-    near = masked.select(
-        "doc_id",
-        "digest",
-        _entity(F.col("span")).alias("entity"),
-        first.alias("first"),
-        F.substring("masked", first + 1, last - first).alias("context"),
+    often = (
+        held.groupBy("entity")
+        .agg(F.sum("rows").alias("n_entity"), F.count(F.lit(1)).alias("texts"))
+        .filter(F.col("texts") >= settings.support)
     )
-    word = rf"(?<=[^\p{{L}}])\p{{L}}{{{settings.letters},}}+(?=[^\p{{L}}])"
-    words = near.select(
-        "doc_id", "digest", "entity", "first",
-        F.explode_outer(located(F.col("context"), word)).alias("word"),
-    ).filter(F.col("word").isNotNull())
-    return words.select(
-        "doc_id",
-        "digest",
-        "entity",
-        F.lower("word.value").alias("term"),
-        (F.col("first") - 1 + F.col("word.start")).alias("start"),
-        (F.col("first") - 1 + F.col("word.end")).alias("end"),
+    return held.join(often.drop("texts"), "entity")
+
+
+def text_terms(found: DataFrame, settings: Disclosure = Disclosure()) -> DataFrame:
+    """``digest, term``: the different words, entities left out, of the texts with entities."""
+    word = rf"\p{{L}}{{{settings.letters},}}+"
+    with_any = found.filter(F.size("base") > 0)
+    words = F.regexp_extract_all(_masked(F.col("text"), F.col("base")), F.lit(word), F.lit(0))
+    terms = F.array_distinct(F.transform(words, lambda one: F.lower(one)))
+    return (
+        with_any.select(_digest(), F.explode_outer(terms).alias("term"))
+        .filter(F.col("term").isNotNull())
+        .distinct()
     )
 
 
 def disclosing_terms(
-    found: DataFrame, near: DataFrame, stages: Stages, settings: Disclosure = Disclosure()
+    found: DataFrame, stages: Stages, settings: Disclosure = Disclosure()
 ) -> DataFrame:
-    """``entity, term, disclosure``: pairs whose disclosure reaches the lower threshold.
+    """``digest, term, disclosure``: terms whose disclosure of an entity of the same text, at
+    most, reaches the lower threshold.
 
     Probabilities are shares of rows. With n rows in all, the disclosure of entity e by
     term t is log(n n(t,e) / (n(t) n(e))) / log(n / n(e)); it counts as 1 where an entity
     is in every row. n(t) counts the rows that hold the term anywhere.
     """
-    pairs = near.groupBy("doc_id", "digest", "entity", "term").agg(F.count(F.lit(1)).alias("_"))
-    together = stages(
-        pairs.groupBy("entity", "term", "digest")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .groupBy("entity", "term")
+    entities = stages(recurring_entities(found, stages, settings), "recurring-entities")
+    pairs = stages(
+        text_terms(found, settings).join(entities, "digest"), "entity-terms"
+    )
+    together = (
+        pairs.groupBy("entity", "term", "n_entity")
         .agg(F.sum("rows").alias("n_both"), F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= settings.support),
-        "disclosing-pairs",
+        .filter(F.col("texts") >= settings.support)
     )
     word = rf"\p{{L}}{{{settings.letters},}}+"
     # The outer form, as the other would find all words once more to drop empty arrays.
@@ -219,15 +237,9 @@ def disclosing_terms(
         ).alias("term")
     )
     frequency = words.filter("term IS NOT NULL").groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    entities = (
-        found.select("doc_id", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-        .groupBy("entity")
-        .agg(F.count(F.lit(1)).alias("n_entity"))
-    )
     total = found.agg(F.count(F.lit(1)).cast("double").alias("n"))
-    return (
+    disclosing = (
         together.join(frequency, "term")
-        .join(entities, "entity")
         .withColumn("n", total.scalar())
         .withColumn("information", F.log(F.col("n") / F.col("n_entity")))
         .withColumn(
@@ -240,6 +252,51 @@ def disclosing_terms(
         .filter(F.col("disclosure") >= settings.generalise)
         .select("entity", "term", "disclosure")
     )
+    return (
+        pairs.join(disclosing, ["entity", "term"])
+        .groupBy("digest", "term")
+        .agg(F.max("disclosure").alias("disclosure"))
+    )
+
+
+def term_spans(
+    found: DataFrame, disclosing: DataFrame, settings: Disclosure = Disclosure()
+) -> DataFrame:
+    """``digest, terms, removed``: where the disclosing terms of a text are, whole words in any
+    case, and the starts of those to remove."""
+    by_text = disclosing.groupBy("digest").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("told")
+    )
+    words = F.concat(
+        F.lit(r"(?iu)(?<!\p{L})(?:"),
+        F.array_join(F.array_sort(F.map_keys("told")), "|"),
+        F.lit(r")(?!\p{L})"),
+    )
+    located_words = (
+        found.filter(F.size("base") > 0)
+        .select(_digest(), _masked(F.col("text"), F.col("base")).alias("masked"))
+        .join(by_text, "digest")
+        .select("digest", "told", located(F.col("masked"), words).alias("words"))
+    )
+    told = lambda span: F.try_element_at("told", F.lower(span["value"]))
+    nothing = F.lit(None).cast("string")
+    # The masked text has a blank before the text.
+    terms = F.transform(
+        F.filter("words", lambda span: told(span).isNotNull()),
+        lambda span: F.struct(
+            (span["start"] - 1).alias("start"), (span["end"] - 1).alias("end"), nothing.alias("value")
+        ),
+    )
+    gone = F.filter("words", lambda span: F.coalesce(told(span) >= settings.remove, F.lit(False)))
+    return (
+        located_words.select(
+            "digest",
+            terms.alias("terms"),
+            F.transform(gone, lambda span: span["start"] - 1).alias("removed"),
+        )
+        .groupBy("digest")
+        .agg(F.first("terms").alias("terms"), F.first("removed").alias("removed"))
+    )
 
 
 def _sanitised(text: Column, spans: Column, removed: Column) -> Column:
@@ -281,35 +338,19 @@ def sanitise(
     and, ``with_text``, ``sanitised``.
 
     Both span columns are ``kind:start:end`` by start, then kind, joined by commas; ``spans``
-    also holds the terms that disclose an entity near them. A null text counts as empty and
+    also holds the terms that disclose an entity of their text. A null text counts as empty and
     has no spans. The result of a row depends on its text and the corpus alone, so repeated
     rows and rows with a null or repeated identifier are no special case. An empty table
     gives an empty result.
 
-    Only words near entities, counts of words and narrow spans are shuffled, texts never are.
+    Words of texts with entities, counts of words and narrow spans are shuffled; of the texts
+    only those with entities are, where the ones that hold disclosing terms are many.
     """
     spark = docs.sparkSession
     found = find_personal_data(docs, id_column, text_column)
     with Stages(spark) as stages:
-        near = stages(nearby_terms(found, settings), "nearby-terms")
-        disclosing = stages(disclosing_terms(found, near, stages, settings), "disclosing-terms")
-        spans = "struct<start:int,end:int,value:string>"
-        terms = stages.keep(
-            near.drop("doc_id")
-            .join(disclosing, ["entity", "term"])
-            .groupBy("digest", "start", "end")
-            .agg(F.max("disclosure").alias("disclosure"))
-            .groupBy("digest")
-            .agg(
-                F.collect_list(
-                    F.struct("start", "end", F.lit(None).cast("string").alias("value")).cast(spans)
-                ).alias("terms"),
-                F.collect_list(
-                    F.when(F.col("disclosure") >= settings.remove, F.col("start"))
-                ).alias("removed"),
-            ),
-            "term-spans",
-        )
+        disclosing = stages(disclosing_terms(found, stages, settings), "disclosing-terms")
+        terms = stages.keep(term_spans(found, disclosing, settings), "term-spans")
     keyed = found.withColumn("digest", F.when(F.size("base") > 0, F.sha2("text", 256)))
     if not with_text:
         keyed = keyed.drop("text")
