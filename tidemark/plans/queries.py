@@ -49,8 +49,7 @@ from tidemark.staging import stage, stage_path
 
 AS_OF = date(2001, 11, 4)
 SETTINGS = Settings(as_of=AS_OF, min_client_median=30.0, max_eval_hours=12.0)
-# The registered fit stops after a few trees: 600 take thousands of jobs (see README).
-GBT_SETTINGS = Settings(as_of=AS_OF, trees=5, fit_partitions=8)
+GBT_SETTINGS = Settings(as_of=AS_OF, fit_partitions=8)
 # Guardrail expectations as tenths of the client-days inside the lookback.
 EXPECTED_TENTHS = (0, 10, 15, 30)
 # Lookbacks of the sufficiency check; the last two are shorter than the test windows.
