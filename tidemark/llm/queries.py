@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.llm.alignment import alignment
 from tidemark.llm.byte_bpe import decode_ids, encode_texts, read_ranks
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import contamination
@@ -14,6 +15,7 @@ from tidemark.llm.jaccard_join import jaccard_groups
 from tidemark.llm.kneser_ney import quality_scores
 from tidemark.llm.license_scan import scan_licenses
 from tidemark.llm.line_dedup import deduplicate_lines
+from tidemark.llm.periodic_runs import periodic_runs
 from tidemark.llm.rendezvous import assign_shards
 from tidemark.llm.sanitise import sanitise
 from tidemark.llm.token_rollup import (
@@ -24,10 +26,13 @@ from tidemark.llm.token_rollup import (
     revisions,
     token_counts,
 )
+from tidemark.llm.topk_search import top_k
 from tidemark.staging import Stages, stage_path
 
 SHARDS = 40
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: Of the alignment: ranks, the same vocabulary as byte_bpe_50k.json, and a sentencepiece model.
+ALIGNED = ("byte_bpe_50k.tiktoken", "piece_bpe_32k.model")
 
 
 def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +122,67 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; a tenth of the texts, by a checksum of the identifier, repeat a block
+    of words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    picked = F.coalesce(h % 10 == 0, F.lit(False))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    numbers = (
+        docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(picked, words).alias("words"))
+        .withColumn("n", F.when(F.size("words") > 0, F.size("words")))
+        .withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+        .withColumn("left", F.col("n") - F.col("a"))
+        .withColumn("p", (1 + F.floor(F.col("left") / (3 + F.col("g") % 8))).cast("int"))
+    )
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    repeated = F.flatten(F.array_repeat(block, F.ceil(F.col("left") / F.col("p")).cast("int")))
+    every = F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(repeated, F.lit(1), F.col("left")))
+    return numbers.select(
+        "doc_id", F.when(F.col("n").isNotNull(), F.array_join(every, " ")).otherwise(F.col("text")).alias("text")
+    )
+
+
+def run_digests(found: DataFrame) -> DataFrame:
+    """The longest run of every document (ties: smallest start, then period), and digests."""
+    longest = F.array_min(
+        F.transform("runs", lambda run: F.struct((-run["length"]).alias("less"), run["start"], run["period"]))
+    )
+    written = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.less")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.less") / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(written, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return run_digests(periodic_runs(planted_periods(table(spark, folder, "documents"))))
+
+
+def op12_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), 20, scale=64, query_every=20)
+
+
+def aligned(docs: DataFrame, **options) -> DataFrame:
+    """The alignment of the two public vocabularies of ``ALIGNED``."""
+    import public_tokenizers
+
+    ranks = read_ranks(public_tokenizers.path(ALIGNED[0]))
+    with open(public_tokenizers.path(ALIGNED[1]), "rb") as file:
+        model = file.read()
+    return alignment(docs, ranks, public_tokenizers.PATTERN, model, **options)
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return aligned(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_token_rollup": op2_token_rollup,
@@ -128,6 +194,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": op8_jaccard,
     "op9_rendezvous": op9_rendezvous,
     "op10_kneser_ney": op10_kneser_ney,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_topk_search": op12_topk_search,
+    "op13_alignment": op13_alignment,
 }
 
 #: The checksum is computed byte by byte from its table of steps.
@@ -188,4 +257,22 @@ ORACLE_SQL: dict[str, str] = {
                grown_shard
         FROM rows
     """,
+    "op12_topk_search": """
+        WITH w AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                   CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+            FROM w AS q JOIN w AS c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+        FROM scored
+        WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER best <= 20
+    """,
 }
