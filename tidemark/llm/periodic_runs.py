@@ -140,8 +140,8 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     base = 0x9E3779B97F4A7C15
     with np.errstate(over="ignore"):
         both = [
-            np.cumprod(np.concatenate([[1], np.full(size, factor, np.uint64)]).astype(np.uint64))
-            for factor in (np.uint64(base), np.uint64(pow(base, -1, 2**64)))
+            np.cumprod(np.array([1] + [factor] * size, np.uint64), dtype=np.uint64)
+            for factor in (base, pow(base, -1, 2**64))
         ]
     return both[0], both[1]
 
@@ -150,24 +150,47 @@ class _Blocks:
     """Hashes of the blocks of words that begin at each place."""
 
     def __init__(self, ids: np.ndarray):
-        size = 1 << len(ids).bit_length()
-        powers, self.inverses = _powers(size)
+        self.words = len(ids)
+        self.powers, self.inverses = _powers(1 << len(ids).bit_length())
         with np.errstate(over="ignore"):
             mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
             mixed ^= mixed >> np.uint64(29)
-            self.sums = np.concatenate([[np.uint64(0)], np.cumsum(mixed * powers[: len(ids)])])
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * self.powers[: len(ids)], dtype=np.uint64)])
 
     def of(self, length: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             sums = self.sums[length:] - self.sums[:-length]
             return sums * self.inverses[: len(sums)]
 
+    def agree(self, places: np.ndarray, periods: np.ndarray, most: int) -> np.ndarray:
+        """How many words around each place equal those a period later, as far as hashes tell:
+        never fewer than there are, up to about ``most`` on either side."""
+        ahead, behind = np.zeros_like(places), np.zeros_like(places)
+        sums, factors = self.sums, self.powers[periods]
+        step = 1 << most.bit_length()
+        with np.errstate(over="ignore"):
+            while step:
+                start = places + ahead
+                inside = start + step + periods <= self.words
+                start = np.where(inside, start, 0)
+                later = np.where(inside, start + periods, 0)
+                same = (sums[start + step * inside] - sums[start]) * factors == sums[later + step * inside] - sums[later]
+                ahead += step * (inside & same)
+                start = places - behind - step
+                inside = start >= 0
+                start = np.where(inside, start, 0)
+                later = np.where(inside, start + periods, 0)
+                same = (sums[start + step * inside] - sums[start]) * factors == sums[later + step * inside] - sums[later]
+                behind += step * (inside & same)
+                step >>= 1
+        return ahead + behind
+
 
 def _far(ids: np.ndarray, octave: int, least: int, blocks: _Blocks) -> Iterator[tuple[int, int, int]]:
     """``period, start, stop`` of the octave's stretches, from boundaries 2^(octave - 1) apart.
 
     Words that agree over a whole period agree over a block between two boundaries; blocks are
-    compared by hash to find the periods worth a Z-function."""
+    compared by hash to find the periods worth a Z-function, which alone decides."""
     size, words = 1 << (octave - 1), len(ids)
     if words < 4 * size:
         return
@@ -178,9 +201,11 @@ def _far(ids: np.ndarray, octave: int, least: int, blocks: _Blocks) -> Iterator[
     at, ahead = np.nonzero(rows == hashes[::size, None])
     boundaries, periods = at * size, ahead + 2 * size
     inside = boundaries + periods < len(hashes)
-    boundaries, periods = boundaries[inside].tolist(), periods[inside].tolist()
-    if not boundaries:
+    boundaries, periods = boundaries[inside], periods[inside]
+    long = blocks.agree(boundaries, periods, width) >= periods
+    if not long.any():
         return
+    boundaries, periods = boundaries[long].tolist(), periods[long].tolist()
     text = ids.tolist()
     back = text[::-1]
     seen: dict[int, int] = {}
