@@ -62,7 +62,7 @@ def test_training_run_writes_everything(spark, client_days, tmp_path):
 
     run_training(spark, client_days, out, SETTINGS, run_id="second")
     metrics = spark.read.parquet(f"{out}/run_metrics")
-    assert metrics.columns == ["run_id", "key", "value"]
+    assert metrics.columns == ["run_id", "key", "value", "batch"]
     assert {row.run_id: row["count"] for row in metrics.groupBy("run_id").count().collect()} == {
         "first": 7, "second": 7,
     }

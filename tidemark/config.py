@@ -10,6 +10,8 @@ DATE = "event_date"
 ACTUAL = "actual_volume"
 BASELINE = "rolling_4w_median"
 TARGET = "target"
+#: Folder column of histories that are partitioned by month, as year * 100 + month.
+MONTH = "history_month"
 FLAGS = ("is_china", "is_domestic")
 EVENT_PREFIX = "event_"
 
@@ -110,7 +112,13 @@ class Settings:
     column_sample: float = 0.85
     seed: int = 42
     max_bins: int = 256
-    fit_partitions: int = 16  # recorded: row sampling, and so the model, depends on it
+    fit_partitions: int | None = None  # None: by the number of training rows
+    fit_rows_per_partition: int = 250_000
+
+    # report
+    report_name: str = "Demand uplift run report"
+    report_phase: str = "Phase 0"
+    report_objective: str = "Check that a training run repeats and that its evidence is complete."
 
     # identity
     model_name: str = "multi_client_uplift_trees"

@@ -43,6 +43,11 @@ def safe_date(column: Column, dtype: T.DataType, formats: tuple[str, ...] = ())
     return F.coalesce(*parsed)
 
 
+def month_number(day: Column) -> Column:
+    """2001-11-04 is in month 200111."""
+    return F.year(day) * 100 + F.month(day)
+
+
 def smape_term(actual: Column, predicted: Column) -> Column:
     """One row's share of SMAPE; ``avg`` of it times 100 is the metric."""
     scale = F.abs(actual) + F.abs(predicted) + F.lit(SMAPE_EPSILON)
@@ -61,6 +66,15 @@ def undo_log_uplift(uplift: Column, baseline: Column) -> Column:
     return F.exp(uplift) * baseline
 
 
+def fail_on(value: Column, checks: dict[str, Column]) -> Column:
+    """The value; where a check holds, the query fails with the first such check's name."""
+    guarded = value
+    for name, bad in reversed(checks.items()):
+        message = F.lit(f"Check {name} failed.")
+        guarded = F.when(bad, F.raise_error(message).cast("double")).otherwise(guarded)
+    return guarded
+
+
 def deviation_signal(actual: Column, baseline: Column) -> Column:
     """Relative distance from the baseline; 0 where the baseline is 0 or missing."""
     return F.coalesce(F.abs(actual - baseline) / F.nullif(baseline, F.lit(0.0)), F.lit(0.0))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.config import ACTUAL, BASELINE, CYCLES, DATE, EVENT_PREFIX, FLAGS, TARGET, Settings
-from tidemark.functions.expressions import log_uplift, undo_log_uplift
+from tidemark.functions.expressions import fail_on, log_uplift, undo_log_uplift
+from tidemark.operators.validate import inverse_checks
 
 
 def add_calendar_parts(df: DataFrame, date: str = DATE) -> DataFrame:
@@ -51,10 +52,16 @@ def add_uplift_target(
 
 
 def restore_volume(
-    df: DataFrame, uplift: str, volume: str, baseline: str = BASELINE
+    df: DataFrame, uplift: str, volume: str, baseline: str = BASELINE, *, guarded: bool = False
 ) -> DataFrame:
-    """Turn a predicted log uplift back into a volume."""
-    return df.withColumn(volume, undo_log_uplift(F.col(uplift), F.col(baseline)))
+    """Turn a predicted log uplift back into a volume.
+
+    ``guarded``, the plan itself fails at the first row whose baseline fails an inverse check,
+    where it is used and on streams as well."""
+    usable = F.col(baseline)
+    if guarded:
+        usable = fail_on(usable, inverse_checks(baseline))
+    return df.withColumn(volume, undo_log_uplift(F.col(uplift), usable))
 
 
 def feature_columns(

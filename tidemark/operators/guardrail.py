@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.config import ZONE_CRITICAL, ZONE_NOMINAL, ZONE_WARNING, Settings
+from tidemark.errors import VolumeRejected
 
 # Failure reasons.
 STARVATION = "CRITICAL: DataStarvationError"
@@ -42,15 +43,27 @@ def judge_volume(counts: DataFrame, settings: Settings = Settings()) -> DataFram
 
 def guardrail(refined: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The one-row verdict on a refined table."""
-    counted = refined.agg(F.count(F.lit(1)).alias("valid_rows"))
+    return _judged(refined.agg(F.count(F.lit(1)).alias("valid_rows")), settings)
+
+
+def counted_guardrail(
+    spark: SparkSession, valid_rows: int, settings: Settings = Settings()
+) -> DataFrame:
+    """The same verdict from a count taken before."""
+    return _judged(spark.range(1).select(F.lit(valid_rows).cast("bigint").alias("valid_rows")), settings)
+
+
+def _judged(counted: DataFrame, settings: Settings) -> DataFrame:
     expected = F.lit(settings.expected_rows).cast("bigint").alias("expected_row_count")
     return judge_volume(counted.select("valid_rows", expected), settings)
 
 
-def enforce_guardrail(verdict: DataFrame) -> None:
-    """Stop the run on a critical verdict, warn on a deviation."""
+def enforce_guardrail(verdict: DataFrame) -> str | None:
+    """Stop the run on a critical verdict, warn on a deviation and return its reason."""
     row = verdict.first()
     if not row.passed:
-        raise RuntimeError(f"Volume guardrail failed: {row.failure_reason}")
+        message = f"Volume guardrail failed: {row.failure_reason}"
+        raise VolumeRejected(message, row.failure_reason, row.valid_rows)
     if row.failure_reason is not None:
         logger.warning("%s: %s, drop %.4f", row.workflow_impact_flag, row.failure_reason, row.drop_frac)
+    return row.failure_reason

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -37,6 +38,17 @@ def regressor(settings: Settings = Settings()) -> GBTRegressor:
     )
 
 
+def fit_layout(train_rows: int, settings: Settings = Settings()) -> Settings:
+    """Settings with the number of fit partitions that the training rows ask for.
+
+    A tree takes one job for each of its levels, so few rows in many partitions cost more in
+    scheduling than they save. The number follows from the rows alone and is recorded with the
+    run: row sampling, and so the model, depends on it."""
+    if settings.fit_partitions is not None:
+        return settings
+    return replace(settings, fit_partitions=-(-max(1, train_rows) // settings.fit_rows_per_partition))
+
+
 def _training_layout(train: DataFrame, features: Sequence[str], settings: Settings) -> DataFrame:
     """Only the fitted columns, spread evenly and ordered the same way on every run.
 
@@ -54,16 +66,20 @@ def fit_forecaster(
 ) -> PipelineModel:
     """Fit on the training part; this runs the fit's jobs.
 
-    Flags must be filled (see ``fill_flags``).
+    Flags must be filled (see ``fill_flags``). Without a number of partitions the rows are
+    counted to find it.
     """
+    if settings.fit_partitions is None:
+        settings = fit_layout(train.count(), settings)
     pipeline = Pipeline(stages=[assembler(features), regressor(settings)])
     return pipeline.fit(_training_layout(train, features, settings))
 
 
 def forecast(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add the predicted log uplift and the predicted volume."""
+    """Add the predicted log uplift and the predicted volume; a baseline that is missing or not
+    positive fails the plan."""
     scored = model.transform(df).drop(VECTOR)
-    return restore_volume(scored, PREDICTED_LOG, PREDICTED_VOLUME)
+    return restore_volume(scored, PREDICTED_LOG, PREDICTED_VOLUME, guarded=True)
 
 
 def naive_forecast(df: DataFrame) -> DataFrame:

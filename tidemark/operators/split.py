@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.config import CLIENT, DATE, Settings
-from tidemark.functions.expressions import with_row
+from tidemark.config import CLIENT, DATE, MONTH, Settings
+from tidemark.errors import TooLittleHistory
+from tidemark.functions.expressions import month_number, with_row
 
 PARTS = ("train", "val", "test")
 
@@ -36,17 +37,23 @@ def label_split(
 
 
 def part_rows(df: DataFrame, bounds: DataFrame, *parts: str, date: str = DATE) -> DataFrame:
-    """Rows of adjacent parts by plain date ranges, which reach the scan; labels do not."""
+    """Rows of adjacent parts by plain date ranges, which reach the scan; labels do not. Of
+    rows that lie in folders by month, the folders outside the range are not read."""
     starts = {"val": bounds.select("val_start").scalar(), "test": bounds.select("test_start").scalar()}
     wanted = [PARTS.index(part) for part in parts]
     if sorted(wanted) != list(range(min(wanted), max(wanted) + 1)):
         raise ValueError(f"Parts are not adjacent: {parts}")
     first, after = min(wanted), max(wanted) + 1
     rows = df.filter(F.col(date).isNotNull())
+    by_month = MONTH in df.columns
     if first:
         rows = rows.filter(F.col(date) >= starts[PARTS[first]])
+        if by_month:
+            rows = rows.filter(F.col(MONTH) >= month_number(starts[PARTS[first]]))
     if after < len(PARTS):
         rows = rows.filter(F.col(date) < starts[PARTS[after]])
+        if by_month:
+            rows = rows.filter(F.col(MONTH) <= month_number(starts[PARTS[after]]))
     return rows
 
 
@@ -58,10 +65,11 @@ def require_all_parts(labelled: DataFrame) -> dict[str, int]:
     """Fail unless train, val and test all hold rows; returns the counts."""
     counted = {row.split: row.row_count for row in split_counts(labelled).collect()}
     if not set(counted) - {None}:
-        raise ValueError("The date column holds no valid value.")
+        raise TooLittleHistory("The date column holds no valid value.", "no dates")
     sizes = {part: counted.get(part, 0) for part in PARTS}
     if min(sizes.values()) == 0:
-        raise ValueError(f"Too little history to split by time: {sizes}")
+        shown = ", ".join(f"{part}={sizes[part]}" for part in PARTS)
+        raise TooLittleHistory(f"Too little history to split by time: {sizes}", shown, sum(sizes.values()))
     return sizes
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.config import ACTUAL, BASELINE, DATE
+from tidemark.errors import CheckFailed, MissingColumns
 
 
 def _require_columns(df: DataFrame, names: list[str]) -> None:
     missing = [name for name in names if name not in df.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise MissingColumns(f"Missing required columns: {missing}", ", ".join(missing))
 
 
 def input_checks(date: str = DATE, actual: str = ACTUAL, baseline: str = BASELINE) -> dict[str, Column]:
@@ -43,11 +46,29 @@ def violations(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return df.agg(*[F.count_if(bad).alias(name) for name, bad in checks.items()])
 
 
-def _raise_first(df: DataFrame, checks: dict[str, Column]) -> None:
-    counts = violations(df, checks).first().asDict()
+def run_checks() -> dict[str, Column]:
+    """All checks of a training run by group and name, in the order in which they count."""
+    groups = {"input": input_checks(), "target": target_checks(), "inverse": inverse_checks()}
+    return {f"{group}_{name}": bad for group, checks in groups.items() for name, bad in checks.items()}
+
+
+def raise_first(counts: Mapping[str, int], checks: Mapping[str, Column], prefix: str = "") -> None:
+    """Raise for the first of the checks, in their order, that counted rows."""
     for name in checks:
-        if counts[name]:
-            raise ValueError(f"Check {name} failed for {counts[name]} rows.")
+        if counts[prefix + name]:
+            rows = counts[prefix + name]
+            raise CheckFailed(f"Check {name} failed for {rows} rows.", name, rows)
+
+
+def enforce_counts(counts: Mapping[str, int]) -> None:
+    """What the three ``validate_`` functions do, from counts of ``run_checks`` taken before."""
+    raise_first(counts, input_checks(), "input_")
+    raise_first(counts, target_checks(), "target_")
+    raise_first(counts, inverse_checks(), "inverse_")
+
+
+def _raise_first(df: DataFrame, checks: dict[str, Column]) -> None:
+    raise_first(violations(df, checks).first().asDict(), checks)
 
 
 def validate_input(

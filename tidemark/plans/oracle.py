@@ -141,7 +141,8 @@ decided AS (
   FROM gated, accuracy, verdict),
 texts AS (
   SELECT l_orderkey, l_linenumber,
-         CASE WHEN l_orderkey % 17 = 0 OR l_orderkey % 19 = 0 THEN NULL
+         CASE WHEN l_orderkey % 17 = 0 OR l_orderkey % 19 = 0 OR l_orderkey % 23 = 0
+                OR l_orderkey % 29 = 0 OR l_orderkey % 31 = 0 THEN NULL
               ELSE CAST(l_shipdate AS DATE) END AS event_date,
          CASE WHEN (l_orderkey + l_linenumber) % 17 = 0 OR (l_orderkey + l_linenumber) % 19 = 0
               THEN NULL ELSE l_quantity END AS actual_volume,
@@ -280,12 +281,73 @@ def _gate_rows() -> str:
     )
 
 
+#: Guard, what it is given, error (None if all rows pass), subject, and the failing rows.
+_GUARDS = (
+    ("columns", "complete", None, "''", "NULL"),
+    ("columns", "no actual", "MissingColumns", "'actual_volume'", "NULL"),
+    ("rows", "some", None, "''", "NULL"),
+    ("rows", "none", "EmptyTable", "'client-days'", "NULL"),
+    ("input", "refined", None, "''", "NULL"),
+    ("input", "raw", "CheckFailed", "'missing_required_value'",
+     "(SELECT count(*) FROM based WHERE rolling_4w_median IS NULL)"),
+    ("input", "low actual", "CheckFailed", "'negative_actual'",
+     "(SELECT count(*) FROM refined WHERE actual_volume < 30)"),
+    ("input", "low baseline", "CheckFailed", "'non_positive_baseline'",
+     "(SELECT count(*) FROM refined WHERE rolling_4w_median <= 30)"),
+    ("input", "no baseline", "MissingColumns", "'rolling_4w_median'", "NULL"),
+    ("target", "refined", None, "''", "NULL"),
+    ("target", "unknown actual", "CheckFailed", "'missing_actual'",
+     "(SELECT count(*) FROM refined WHERE is_china = 1)"),
+    ("target", "low actual", "CheckFailed", "'negative_actual'",
+     "(SELECT count(*) FROM refined WHERE actual_volume < 30)"),
+    ("inverse", "refined", None, "''", "NULL"),
+    ("inverse", "raw", "CheckFailed", "'missing_baseline'",
+     "(SELECT count(*) FROM based WHERE rolling_4w_median IS NULL)"),
+    ("inverse", "low baseline", "CheckFailed", "'non_positive_baseline'",
+     "(SELECT count(*) FROM refined WHERE rolling_4w_median <= 30)"),
+    ("volume", "as expected", None, "''", "NULL"),
+    ("volume", "a tenth short", None, "'WARNING: ApprovedSchemaDeviation'", "NULL"),
+    ("volume", "half and more short", "VolumeRejected", "'CRITICAL: DataStarvationError'",
+     "(SELECT count(*) FROM refined)"),
+    ("history", "two years", None, "''", "NULL"),
+    ("history", "a month", "TooLittleHistory",
+     "(SELECT 'train=0, val=0, test=' || count(*) FROM refined WHERE event_date >= DATE '2001-11-04' - 30)",
+     "(SELECT count(*) FROM refined WHERE event_date >= DATE '2001-11-04' - 30)"),
+)
+
+
+def _guard_rows() -> str:
+    return _union(
+        [
+            f"SELECT '{guard}' AS guard, '{given}' AS given, '{error or 'passed'}' AS outcome, "
+            f"{subject} AS subject, CAST({rows} AS BIGINT) AS failing_rows"
+            for guard, given, error, subject, rows in _GUARDS
+        ]
+    )
+
+
+#: Stored settings other than the expected rows, which the query counts.
+_SNAPSHOT = {
+    "MAX_SMAPE_THRESHOLD": 40,
+    "MAX_ANCHOR_SMAPE": 7.5,
+    "MAX_DIAL_SMAPE": 13,
+    "MAX_SPIKER_SMAPE": 24,
+    "MAX_PHANTOM_SMAPE": 32,
+    "ARCHETYPE_HIGH_VOLUME_QUANTILE": 0.75,
+    "ARCHETYPE_LOW_VOLUME_QUANTILE": 0.35,
+    "ARCHETYPE_LOW_PREDICTABILITY_QUANTILE": 0.65,
+    "ARCHETYPE_HIGH_PREDICTABILITY_QUANTILE": 0.35,
+}
+
 _SELECTS = {
     "daily_volume": f"""SELECT client_name, event_date, actual_volume, is_china, is_domestic,
         {_DAY_EVENTS} FROM flagged""",
     "rolling_baseline": f"SELECT {_CANONICAL}, {_DAY_EVENTS} FROM based",
     "csv_scan": _REFINED,
     "table_scan": _REFINED,
+    "history_rows": _REFINED,
+    "history_test_rows": """SELECT client_name, event_date, actual_volume FROM based
+        WHERE event_date >= (SELECT max(event_date) - 41 FROM based)""",
     "refined_rows": _REFINED,
     "alias_projection": """SELECT client_name, event_date, actual_volume, rolling_4w_median,
         is_china, 0 AS is_domestic FROM based""",
@@ -314,6 +376,30 @@ _SELECTS = {
           count(*) FILTER (WHERE actual_volume <= 0) AS non_positive_actual,
           count(*) FILTER (WHERE rolling_4w_median <= 10) AS low_baseline FROM based)
         CROSS JOIN (SELECT count(*) AS kept_rows FROM refined)""",
+    "observed_refinement": """SELECT total_rows, kept_rows, total_rows - kept_rows AS dropped_rows,
+        missing_date, missing_actual, missing_baseline, before_cutoff, after_as_of,
+        non_positive_actual, low_baseline, kept_rows AS valid_rows, checked.*
+        FROM (SELECT count(*) AS total_rows, count(*) FILTER (WHERE event_date IS NULL) AS missing_date,
+          count(*) FILTER (WHERE actual_volume IS NULL) AS missing_actual,
+          count(*) FILTER (WHERE rolling_4w_median IS NULL) AS missing_baseline,
+          count(*) FILTER (WHERE event_date < DATE '2001-11-04' - 730) AS before_cutoff,
+          count(*) FILTER (WHERE event_date > DATE '2001-11-04') AS after_as_of,
+          count(*) FILTER (WHERE actual_volume <= 0) AS non_positive_actual,
+          count(*) FILTER (WHERE rolling_4w_median <= 10) AS low_baseline FROM based)
+        CROSS JOIN (SELECT count(*) AS kept_rows FROM refined)
+        CROSS JOIN (SELECT
+          count(*) FILTER (WHERE actual_volume IS NULL OR rolling_4w_median IS NULL)
+            AS input_missing_required_value,
+          count(*) FILTER (WHERE actual_volume < 0) AS input_negative_actual,
+          count(*) FILTER (WHERE rolling_4w_median <= 0) AS input_non_positive_baseline,
+          count(*) FILTER (WHERE actual_volume IS NULL) AS target_missing_actual,
+          count(*) FILTER (WHERE rolling_4w_median IS NULL) AS target_missing_baseline,
+          count(*) FILTER (WHERE rolling_4w_median <= 0) AS target_non_positive_baseline,
+          count(*) FILTER (WHERE actual_volume < 0) AS target_negative_actual,
+          count(*) FILTER (WHERE rolling_4w_median IS NULL) AS inverse_missing_baseline,
+          count(*) FILTER (WHERE rolling_4w_median <= 0) AS inverse_non_positive_baseline
+          FROM refined) AS checked""",
+    "guard_outcomes": _guard_rows(),
     "guardrail": """SELECT NOT starved AND NOT poor AS passed,
         CASE WHEN starved THEN 'CRITICAL: DataStarvationError'
              WHEN poor THEN 'CRITICAL: DataQualityError'
@@ -423,7 +509,17 @@ _SELECTS = {
         [f"SELECT run_id, '{key}' AS key, {value} AS value FROM decided"
          for key, value in _PARAMETERS.items()]
     ),
-    "run_report": """SELECT run_id,
+    "config_snapshot": _union(
+        [f"SELECT '{key}' AS key, CAST({value} AS DOUBLE) AS value" for key, value in _SNAPSHOT.items()]
+        + ["SELECT 'REFINERY_EXPECTED_ROW_COUNT' AS key, CAST(count(*) AS DOUBLE) AS value FROM daily"]
+    ),
+    "model_roundtrip": """SELECT client_name, event_date, split, actual_volume,
+        true AS volume_restored, true AS reloaded_equal, true AS in_range
+        FROM labelled WHERE split <> 'train'""",
+    "run_report": """SELECT run_id, 'Demand uplift run report' AS report_name, 'Phase 0' AS phase,
+        'Check that a training run repeats and that its evidence is complete.' AS objective,
+        'A run passes when the quality gate and every process gate do; otherwise it is rejected.'
+          AS explanation,
         CASE WHEN promotion_recommendation AND process_pass THEN 'pass' ELSE 'reject' END
           AS recommendation,
         round(test_smape_target, 6) AS test_smape_target,

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.config import ACTUAL, BASELINE, CLIENT, DATE, TARGET, Settings
+from tidemark.errors import GuardError
 from tidemark.functions.expressions import safe_date, safe_double
 from tidemark.operators import cohorts, governance, report, split, validate
 from tidemark.operators.baseline import rolling_baseline
@@ -23,7 +24,7 @@ from tidemark.operators.features import (
     feature_columns,
     restore_volume,
 )
-from tidemark.operators.guardrail import guardrail as volume_guardrail
+from tidemark.operators.guardrail import enforce_guardrail, guardrail as volume_guardrail
 from tidemark.operators.metrics import evaluation, smape_by_split
 from tidemark.operators.model import (
     VECTOR,
@@ -34,10 +35,19 @@ from tidemark.operators.model import (
     naive_forecast,
     save_model,
 )
-from tidemark.operators.refine import cutoff_date, drop_counts, refine
+from tidemark.operators.refine import cutoff_date, drop_counts, observed_refine, refine
 from tidemark.plans.forecast import prepare, refined_client_days
-from tidemark.sinks import append_records, run_metrics, run_parameters, write_ledger, write_report
-from tidemark.sources import load, project_canonical
+from tidemark.sinks import (
+    read_config,
+    record,
+    run_metrics,
+    run_parameters,
+    write_config,
+    write_history,
+    write_ledger,
+    write_report,
+)
+from tidemark.sources import load, project_canonical, require_rows
 from tidemark.sources.warehouse import (
     champions,
     customer_daily,
@@ -49,7 +59,11 @@ from tidemark.staging import stage, stage_path
 
 AS_OF = date(2001, 11, 4)
 SETTINGS = Settings(as_of=AS_OF, min_client_median=30.0, max_eval_hours=12.0)
-GBT_SETTINGS = Settings(as_of=AS_OF, fit_partitions=8)
+GBT_SETTINGS = Settings(as_of=AS_OF)
+#: A short fit, for what holds of a model whatever its trees.
+ROUNDTRIP_SETTINGS = Settings(as_of=AS_OF, trees=3, depth=4)
+#: Units taken off volumes and baselines to break the checks.
+SHORTFALL = 30
 # Guardrail expectations as tenths of the client-days inside the lookback.
 EXPECTED_TENTHS = (0, 10, 15, 30)
 # Lookbacks of the sufficiency check; the last two are shorter than the test windows.
@@ -135,6 +149,24 @@ def table_scan(spark: SparkSession, folder: str) -> DataFrame:
         spark.sql(f"DROP TABLE {name}")
 
 
+def _history(spark: SparkSession, folder: str) -> DataFrame:
+    path = f"{stage_path(spark, 'history')}.parquet"
+    write_history(_baselined(spark, folder), path)
+    return load(spark, path)
+
+
+def history_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookback over a history in folders by month."""
+    return refine(_history(spark, folder), SETTINGS)
+
+
+def history_test_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The test window of a whole history, by the bounds that its own last date gives."""
+    history = _history(spark, folder)
+    bounds = split.split_bounds(history, SETTINGS)
+    return split.part_rows(history, bounds, "test").select(CLIENT, DATE, ACTUAL)
+
+
 def alias_projection(spark: SparkSession, folder: str) -> DataFrame:
     source = _baselined(spark, folder).select(
         F.col(CLIENT),
@@ -152,7 +184,7 @@ def coercion(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "l_orderkey",
         "l_linenumber",
-        safe_date(F.col("preadvice_date"), types["preadvice_date"]).alias(DATE),
+        safe_date(F.col("preadvice_date"), types["preadvice_date"], SETTINGS.date_formats).alias(DATE),
         safe_double(F.col("parcel_volume"), types["parcel_volume"]).alias(ACTUAL),
     )
 
@@ -193,6 +225,62 @@ def refine_drop_counts(spark: SparkSession, folder: str) -> DataFrame:
     return drop_counts(_baselined(spark, folder), SETTINGS)
 
 
+def observed_refinement(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the dropped rows and of all checks, taken while the kept rows are written."""
+    rows, seen, checked = observed_refine(_baselined(spark, folder), SETTINGS)
+    stage(rows, "refined")
+    counts = {**seen.get, **checked.get}
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} long" for name in counts))
+
+
+def guard_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """What every guard does with rows that pass and rows that fail: the error, its subject and
+    how many rows it counts."""
+    based, refined = stage(_baselined(spark, folder), "client-days"), _refined(spark, folder)
+    low_actual = refined.withColumn(ACTUAL, F.col(ACTUAL) - SHORTFALL)
+    low_baseline = refined.withColumn(BASELINE, F.col(BASELINE) - SHORTFALL)
+    unknown = refined.withColumn(ACTUAL, F.when(F.col("is_china") == 0, F.col(ACTUAL)))
+    valid = refined.count()
+    short = replace(SETTINGS, lookback_days=LOOKBACKS[-1])
+    recent = split.label_split(stage(refine(based, short), "refined"), short)
+
+    def volume(expected: int) -> Callable[[], str | None]:
+        verdict = volume_guardrail(refined, replace(SETTINGS, expected_rows=expected))
+        return lambda: enforce_guardrail(verdict)
+
+    cases = {
+        ("columns", "complete"): lambda: project_canonical(based, SETTINGS) and None,
+        ("columns", "no actual"): lambda: project_canonical(based.drop(ACTUAL), SETTINGS) and None,
+        ("rows", "some"): lambda: require_rows(based, "client-days") and None,
+        ("rows", "none"): lambda: require_rows(based.filter(F.col(CLIENT) == ""), "client-days") and None,
+        ("input", "refined"): lambda: validate.validate_input(refined),
+        ("input", "raw"): lambda: validate.validate_input(based),
+        ("input", "low actual"): lambda: validate.validate_input(low_actual),
+        ("input", "low baseline"): lambda: validate.validate_input(low_baseline),
+        ("input", "no baseline"): lambda: validate.validate_input(refined.drop(BASELINE)),
+        ("target", "refined"): lambda: validate.validate_target_input(refined),
+        ("target", "unknown actual"): lambda: validate.validate_target_input(unknown),
+        ("target", "low actual"): lambda: validate.validate_target_input(low_actual),
+        ("inverse", "refined"): lambda: validate.validate_inverse_input(refined),
+        ("inverse", "raw"): lambda: validate.validate_inverse_input(based),
+        ("inverse", "low baseline"): lambda: validate.validate_inverse_input(low_baseline),
+        ("volume", "as expected"): volume(valid),
+        ("volume", "a tenth short"): volume(valid * 10 // 9 + 1),
+        ("volume", "half and more short"): volume(valid * 3),
+        ("history", "two years"): lambda: split.require_all_parts(split.label_split(refined, SETTINGS)) and None,
+        ("history", "a month"): lambda: split.require_all_parts(recent) and None,
+    }
+    outcomes = []
+    for (guard, case), call in cases.items():
+        try:
+            outcomes.append((guard, case, "passed", call() or "", None))
+        except GuardError as error:
+            outcomes.append((guard, case, type(error).__name__, error.subject, error.rows))
+    return spark.createDataFrame(
+        outcomes, "guard string, given string, outcome string, subject string, failing_rows long"
+    )
+
+
 def guardrail(spark: SparkSession, folder: str) -> DataFrame:
     """The verdict on the refined rows under several expectations."""
     refined = _refined(spark, folder)
@@ -260,7 +348,7 @@ def uplift_target(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def uplift_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    restored = restore_volume(_with_uplift(spark, folder), TARGET, "restored_volume")
+    restored = restore_volume(_with_uplift(spark, folder), TARGET, "restored_volume", guarded=True)
     return _rounded(restored, ["restored_volume"], 6).drop(TARGET)
 
 
@@ -360,22 +448,28 @@ def promotion_decision(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _recorded_twice(records: DataFrame, label: str) -> DataFrame:
+    """A batch recorded beside another one and then once more, read back: one copy is left."""
+    spark = records.sparkSession
+    path = stage_path(spark, label)
+    staged = stage(records, label)
+    for batch in ("again", "other", "again"):
+        record(staged, path, batch)
+    return spark.read.parquet(path).filter("batch = 'again'").select(*records.columns)
+
+
 def run_metrics_long(spark: SparkSession, folder: str) -> DataFrame:
-    path = stage_path(spark, "run-metrics")
-    records = run_metrics(_decided(spark, folder)[0])
-    append_records(records, path)
-    stored = spark.read.schema(records.schema).parquet(path)
+    stored = _recorded_twice(run_metrics(_decided(spark, folder)[0]), "run-metrics")
     shown = F.when(F.col("key").contains("smape"), F.round("value", 6)).otherwise(F.col("value"))
     return stored.withColumn("value", shown)
 
 
 def run_params_long(spark: SparkSession, folder: str) -> DataFrame:
-    path = stage_path(spark, "run-params")
+    settings = replace(SETTINGS, fit_partitions=16)
     records = run_parameters(
-        _decided(spark, folder)[0], SETTINGS, source="lineitem", source_kind="parquet"
+        _decided(spark, folder)[0], settings, source="lineitem", source_kind="parquet"
     )
-    append_records(records, path)
-    return spark.read.schema(records.schema).parquet(path)
+    return _recorded_twice(records, "run-params")
 
 
 def run_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -383,14 +477,17 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
     reported, ledger = _reported(spark, folder, staged=True)
     built = report.build_report(reported, ledger, SETTINGS, source="lineitem")
     path = stage_path(spark, "reports")
-    write_report(built, path)
+    for _ in range(2):
+        write_report(built, path, "events")
     stored = spark.read.schema(built.schema).json(path)
 
     def performance(name: str) -> Column:
         return F.round(F.col(f"key_metrics.performance.{name}"), 6).alias(name)
 
     return stored.select(
-        F.col("executive_summary.run_id").alias("run_id"),
+        "report_name",
+        *[F.col(f"executive_summary.{name}").alias(name) for name in ("phase", "objective", "run_id")],
+        F.col("recommendation.explanation").alias("explanation"),
         F.col("executive_summary.recommendation").alias("recommendation"),
         *[performance(name) for name in report.PERFORMANCE],
         F.col("key_metrics.cmmi.cmmi_hours_to_baseline").alias("hours_to_baseline"),
@@ -404,6 +501,14 @@ def run_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def config_snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    """A run's settings as stored and read back; the expected rows are those of the history."""
+    settings = replace(SETTINGS, expected_rows=daily_volume(spark, folder).count())
+    path = stage_path(spark, "config")
+    write_config(spark, settings, path)
+    return read_config(spark, path)
+
+
 def run_stages(spark: SparkSession, folder: str) -> DataFrame:
     """With the evidence that the refined and prepared rows give."""
     drops = drop_counts(_baselined(spark, folder), SETTINGS).first()
@@ -445,11 +550,37 @@ def gbt_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(CLIENT, DATE, "split", ACTUAL, "pred_log", "pred_volume")
 
 
+def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """What holds of any fitted model: the rows that it scores, that the volume is the restored
+    log uplift, and that the saved model scores them the same."""
+    refined = _refined(spark, folder)
+    bounds = split.split_bounds(refined, ROUNDTRIP_SETTINGS)
+    prepared = prepare(refined, ROUNDTRIP_SETTINGS)
+    features = feature_columns(prepared.columns)
+    model = fit_forecaster(split.part_rows(prepared, bounds, "train"), features, ROUNDTRIP_SETTINGS)
+    path = stage_path(spark, "model")
+    save_model(model, path)
+    rest = split.part_rows(prepared, bounds, "val", "test")
+    restored = F.exp("pred_log") * F.col(BASELINE)
+    scored = forecast(model, rest).withColumn("first_log", F.col("pred_log")).drop("pred_log", "pred_volume")
+    return forecast(load_model(path), scored).select(
+        CLIENT,
+        DATE,
+        "split",
+        ACTUAL,
+        (F.abs(F.col("pred_volume") - restored) <= 1e-9 * restored).alias("volume_restored"),
+        (F.col("pred_log") == F.col("first_log")).alias("reloaded_equal"),
+        F.col("pred_log").between(-14, 14).alias("in_range"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "daily_volume": daily_volume,
     "rolling_baseline": _baselined,
     "csv_scan": csv_scan,
     "table_scan": table_scan,
+    "history_rows": history_rows,
+    "history_test_rows": history_test_rows,
     "alias_projection": alias_projection,
     "coercion": coercion,
     "event_flags": event_flags,
@@ -458,6 +589,8 @@ QUERIES: dict[str, Query] = {
     "active_clients": active_client_rows,
     "refined_rows": lambda spark, folder: refined_client_days(spark, folder, SETTINGS),
     "refine_drop_counts": refine_drop_counts,
+    "observed_refinement": observed_refinement,
+    "guard_outcomes": guard_outcomes,
     "guardrail": guardrail,
     "violations": violations,
     "calendar_parts": calendar_parts,
@@ -486,7 +619,9 @@ QUERIES: dict[str, Query] = {
     "run_metrics_long": run_metrics_long,
     "run_params_long": run_params_long,
     "run_report": run_report,
+    "config_snapshot": config_snapshot,
     "run_stages": run_stages,
     "run_gate_snapshot": run_gate_snapshot,
+    "model_roundtrip": model_roundtrip,
     "gbt_forecast": gbt_forecast,
 }

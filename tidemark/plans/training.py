@@ -11,23 +11,24 @@ from datetime import datetime, timezone
 from uuid import uuid4
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidemark.config import Settings
+from tidemark.errors import EmptyTable
 from tidemark.operators.clients import restrict_clients
 from tidemark.operators.cohorts import cohort_cutpoints, cohort_ledger, gate_verdict, label_cohorts
 from tidemark.operators.features import feature_columns
 from tidemark.operators.governance import RUN_MODES, RUN_SCHEMA, decide_promotion, process_gates
-from tidemark.operators.guardrail import enforce_guardrail, guardrail
+from tidemark.operators.guardrail import counted_guardrail, enforce_guardrail
 from tidemark.operators.metrics import evaluation
-from tidemark.operators.model import fit_forecaster, forecast, save_model
-from tidemark.operators.refine import drop_counts, refine
+from tidemark.operators.model import fit_forecaster, fit_layout, forecast, save_model
+from tidemark.operators.refine import observed_refine
 from tidemark.operators.report import build_report, judge_report, run_evidence
 from tidemark.operators.split import part_rows, require_all_parts, split_bounds
-from tidemark.operators.validate import validate_input, validate_inverse_input, validate_target_input
+from tidemark.operators.validate import enforce_counts
 from tidemark.plans.forecast import prepare
 from tidemark.sinks import (
-    append_records,
+    record,
     run_metrics,
     run_parameters,
     write_config,
@@ -69,7 +70,8 @@ def run_training(
 ) -> TrainingRun:
     """Load, refine, fit, judge and record one run below ``out_dir``.
 
-    The volumetric guardrail stops runs over catalog tables only.
+    The volumetric guardrail stops runs over catalog tables only. Recording a run under a
+    ``run_id`` that was recorded before replaces its records.
     """
     mode = mode.strip().lower()
     if mode not in RUN_MODES:
@@ -78,23 +80,29 @@ def run_training(
     run_id = run_id or uuid4().hex
     kind = source_kind(source)
 
-    rows = require_rows(load(spark, source), f"{source} is empty.")
+    rows = load(spark, source)
     if champions is not None or filter_clients:
-        rows = restrict_clients(project_canonical(rows, settings), champions, settings)
-    drops = drop_counts(rows, settings).first()
-    refined = stage(refine(rows, settings), "refined")
-    require_rows(refined, f"Refinement removed every row of {source}.")
-    volume = guardrail(refined, settings)
+        rows = restrict_clients(
+            project_canonical(require_rows(rows, f"{source} is empty."), settings), champions, settings
+        )
+    # The one pass over the source also counts what it drops and what the checks find.
+    observed, seen, checked = observed_refine(rows, settings)
+    refined = stage(observed, "refined")
+    drops, counts = Row(**seen.get), checked.get
+    if not drops.total_rows:
+        raise EmptyTable(f"{source} is empty.", source)
+    if not counts["valid_rows"]:
+        raise EmptyTable(f"Refinement removed every row of {source}.", source, drops.total_rows)
+    volume = counted_guardrail(spark, counts["valid_rows"], settings)
     if kind == "table":
         enforce_guardrail(volume)
-    validate_input(refined)
-    validate_target_input(refined)
-    validate_inverse_input(refined)
+    enforce_counts(counts)
 
     prepared = prepare(refined, settings)
     bounds = split_bounds(refined, settings)
     features = feature_columns(prepared.columns, settings.feature_columns)
     sizes = require_all_parts(prepared)
+    settings = fit_layout(sizes["train"], settings)
     train = part_rows(prepared, bounds, "train")
     ready = _now()
 
@@ -107,11 +115,11 @@ def run_training(
     save_model(model, f"{out_dir}/models/{run_id}")
     finished = _now()
 
-    record = (
+    judged = (
         run_id, settings.model_name, settings.dataset_version, started, ready, finished,
         False, True, None,
     )
-    gated = process_gates(spark.createDataFrame([record], RUN_SCHEMA), settings)
+    gated = process_gates(spark.createDataFrame([judged], RUN_SCHEMA), settings)
     decision = stage(
         decide_promotion(gated, accuracy, gate_verdict(ledger), settings, mode), "decision"
     )
@@ -123,11 +131,11 @@ def run_training(
     parameters = run_parameters(
         decision, settings, source=source, source_kind=kind, feature_count=len(features)
     )
-    append_records(run_metrics(decision), f"{out_dir}/run_metrics")
-    append_records(parameters, f"{out_dir}/run_params")
+    record(run_metrics(decision), f"{out_dir}/run_metrics", run_id)
+    record(parameters, f"{out_dir}/run_params", run_id)
     write_ledger(ledger, f"{out_dir}/ledgers/{run_id}")
     write_config(spark, settings, f"{out_dir}/configs/{run_id}")
-    write_report(report, f"{out_dir}/reports")
+    write_report(report, f"{out_dir}/reports", run_id)
     return TrainingRun(
         run_id, features, sizes, model, volume, scored, accuracy, ledger, decision, report
     )

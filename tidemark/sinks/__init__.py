@@ -1,19 +1,23 @@
 """Run records as long tables and JSON."""
 
 from tidemark.sinks.records import (
-    append_records,
+    read_config,
+    record,
     run_metrics,
     run_parameters,
     write_config,
+    write_history,
     write_ledger,
     write_report,
 )
 
 __all__ = [
-    "append_records",
+    "read_config",
+    "record",
     "run_metrics",
     "run_parameters",
     "write_config",
+    "write_history",
     "write_ledger",
     "write_report",
 ]

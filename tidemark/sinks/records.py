@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.config import Settings
+from tidemark.config import DATE, MONTH, Settings
+from tidemark.functions.expressions import month_number
 from tidemark.operators.cohorts import ledger_rows
 from tidemark.operators.governance import GATES
 from tidemark.operators.report import GATE_METRIC, config_map
@@ -62,9 +63,29 @@ def run_parameters(
     return _long(decided, {key: column.cast("string") for key, column in columns.items()})
 
 
-def append_records(records: DataFrame, path: str) -> None:
-    """Append to a long Parquet table."""
-    records.write.mode("append").parquet(path)
+def _replacing(records: DataFrame, batch: str):
+    """A writer that replaces what was recorded as ``batch`` and leaves the rest alone.
+
+    A run is a batch of its own; runs that are recorded together share one, so that there is
+    a folder for each recording and not for each run."""
+    named = records.withColumn("batch", F.lit(batch))
+    return (
+        named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+    )
+
+
+def record(records: DataFrame, path: str, batch: str) -> None:
+    """Add a batch to a long Parquet table; recording it again leaves one copy."""
+    _replacing(records, batch).parquet(path)
+
+
+def write_history(client_days: DataFrame, path: str) -> None:
+    """Client-days in one folder for each month of ``event_date``, which readers prune.
+
+    Rows are dealt by month, large months to several tasks, so that a month has few files."""
+    by_month = client_days.withColumn(MONTH, month_number(F.col(DATE)))
+    dealt = by_month.hint("rebalance", F.col(MONTH))
+    dealt.write.mode("overwrite").partitionBy(MONTH).parquet(path)
 
 
 def write_ledger(ledger: DataFrame, path: str) -> None:
@@ -76,5 +97,12 @@ def write_config(spark: SparkSession, settings: Settings, path: str) -> None:
     snapshot.write.mode("overwrite").text(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    report.write.mode("append").option("ignoreNullFields", False).json(path)
+def write_report(report: DataFrame, path: str, batch: str) -> None:
+    """Add a batch of reports; writing it again leaves one copy."""
+    _replacing(report, batch).option("ignoreNullFields", False).json(path)
+
+
+def read_config(spark: SparkSession, path: str) -> DataFrame:
+    """A stored settings snapshot as ``key, value``."""
+    stored = F.from_json("value", "map<string, double>")
+    return spark.read.text(path).select(F.explode(stored).alias("key", "value"))

@@ -17,6 +17,7 @@ from tidemark.config import (
     TARGET,
     Settings,
 )
+from tidemark.errors import MissingColumns
 from tidemark.functions.expressions import safe_date, safe_double, safe_int
 
 # Names with the event prefix that are not event flags.
@@ -90,7 +91,8 @@ def canonical_columns(df: DataFrame, settings: Settings) -> Canonical:
         required.extend(FLAGS)
     missing = [name for name in required if found[name] is None]
     if missing:
-        raise ValueError(f"Required columns {missing} not found; the source has {df.columns}.")
+        message = f"Required columns {missing} not found; the source has {df.columns}."
+        raise MissingColumns(message, ", ".join(missing))
 
     types = {name: df.schema[source].dataType for name, source in found.items() if source}
     columns: dict[str, Column] = {}

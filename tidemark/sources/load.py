@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from tidemark.errors import EmptyTable
 
 KINDS = ("table", "csv", "parquet")
 
@@ -60,5 +61,5 @@ def load(
 def require_rows(df: DataFrame, message: str) -> DataFrame:
     """Fail when ``df`` has no row; stops reading at the first one found."""
     if df.isEmpty():
-        raise ValueError(message)
+        raise EmptyTable(message, message)
     return df

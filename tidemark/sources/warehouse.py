@@ -144,13 +144,26 @@ def _spoiled(column: Column, key: Column) -> Column:
     return F.when(key % 17 == 0, "n/a").when(key % 19 == 0, "nan").otherwise(text)
 
 
+def _written(day: Column, key: Column) -> Column:
+    """The day as text in one of three formats; some texts look like a date and are none."""
+    return (
+        F.when(key % 23 == 0, F.date_format(day, "yyyy-'13'-dd"))
+        .when(key % 29 == 0, F.concat(F.lit("13/40/"), F.year(day)))
+        .when(key % 31 == 0, F.date_format(day, "yyyy'99'dd"))
+        .when(key % 5 == 0, F.date_format(day, "yyyyMMdd"))
+        .when(key % 7 == 0, F.date_format(day, "M/d/yyyy"))
+        .otherwise(day.cast("string"))
+    )
+
+
 def text_shipments(spark: SparkSession, folder: str) -> DataFrame:
-    """Every shipment row with its date and quantity as text, some of it unparsable."""
+    """Every shipment row with its date, in several formats, and its quantity as text, some of
+    it unparsable."""
     key = F.col("l_orderkey")
     return table(spark, folder, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
-        _spoiled(F.col("l_shipdate").cast("date"), key).alias("preadvice_date"),
+        _spoiled(_written(F.col("l_shipdate").cast("date"), key), key).alias("preadvice_date"),
         _spoiled(F.col("l_quantity"), key + F.col("l_linenumber")).alias("parcel_volume"),
         (F.round(F.col("l_discount") * 100)).alias("median_4wk_volume"),
     )
