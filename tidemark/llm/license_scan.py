@@ -219,7 +219,9 @@ class Notices:
             starts = any(trigger in lower for trigger in TRIGGERS)
             words = words_of(line)
             known = sum(word in self.vocabulary for word in words)
-            if starts or (len(words) >= 3 and known >= CONTINUES * len(words)):
+            # A line of a word or two only goes on with a block.
+            enough = 1 if run else 3
+            if starts or (len(words) >= enough and known >= CONTINUES * len(words)):
                 run.append(number)
                 continue
             block = "\n".join(lines[run[0] : run[-1] + 1]) if run else ""
