@@ -16,7 +16,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location, location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -28,7 +28,7 @@ def stage_root(spark: SparkSession) -> str:
     """
     shared = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get(WAREHOUSE_DIR)}/_stages"
     root = f"{shared.rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
-    location, files = _file_system(spark, root)
+    location, files = file_system(spark, root)
     if not files.exists(location):
         files.mkdirs(location)
         files.deleteOnExit(location)
@@ -41,7 +41,7 @@ def stage_path(spark: SparkSession, label: str) -> str:
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
-    location, files = _file_system(spark, path)
+    location, files = file_system(spark, path)
     files.delete(location, True)
 
 
