@@ -12,6 +12,10 @@ from tidemark.llm.common import pick, shuffle_partitions, text_or_empty
 from tidemark.staging import Stages
 
 
+#: Characters of a text that its place in the order of ranges depends on.
+BEGINNING = 16
+
+
 def exact_groups(
     docs: DataFrame,
     *,
@@ -28,10 +32,13 @@ def exact_groups(
     a group of only such rows has a null ``keep_id``. Of repeated rows (same identifier and
     text) one is kept. An empty table gives an empty result.
 
-    Sort keys are (text, salt): the salt comes from the identifier, so that the splitters
-    can cut a group of copies that holds much of the table into up to ``salts`` (by default
-    the number of shuffle partitions) adjacent pieces. The pieces of a group, at most
-    ``salts`` narrow rows, are then merged by the digest of their text.
+    Splitters are sampled from short sort keys: the beginning of the text, a hash of all of it
+    and a salt from the identifier, so that they can cut a group of copies that holds much of
+    the table into up to ``salts`` (by default the number of shuffle partitions) adjacent
+    pieces, and no text travels to the driver, however long texts are. Within a range whole
+    texts are sorted and compared. The pieces of a group, at most ``salts`` narrow rows, are
+    then merged by the digest of their text. Further columns are ignored, whatever they are
+    called.
     """
     if keep not in ("smallest", "largest"):
         raise ValueError(f"keep is smallest or largest, not {keep}")
@@ -43,9 +50,9 @@ def exact_groups(
         "doc_id",
         normalise(text_or_empty()).alias("text"),
         F.pmod(F.xxhash64("doc_id"), F.lit(salts or shuffle_partitions(spark))).alias("salt"),
-    )
-    ranged = keyed.repartitionByRange("text", "salt")
-    piece = Window.partitionBy("text", "salt")
+    ).select("*", F.substring("text", 1, BEGINNING).alias("beginning"), F.xxhash64("text").alias("hash"))
+    ranged = keyed.repartitionByRange("beginning", "hash", "salt")
+    piece = Window.partitionBy("beginning", "hash", "salt", "text")
     with Stages(spark) as stages:
         pieces = stages(
             ranged.select(
