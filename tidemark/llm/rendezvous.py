@@ -64,7 +64,8 @@ def assign_shards(
     decides the shard. A null text has no bytes and the checksum 0. ``grown`` adds shards for
     ``grown_shard`` (null without them). An empty table gives an empty result.
 
-    Slots need no shard in one task: rows are range-partitioned by identifier, numbered
+    Shards are scored where the rows are read, so that only narrow rows are ordered. Slots need
+    no shard in one task: rows are range-partitioned by identifier, numbered
     within (range, shard), and shifted by the counts of earlier ranges. Rows alike in every
     sort column are told apart by the partition they came from, so that the splitters can
     divide them as well.
@@ -79,13 +80,14 @@ def assign_shards(
             (F.octet_length(text_or_empty()) + ROW_OVERHEAD).cast("long").alias("size"),
             F.crc32(text_or_empty().cast("binary")).alias("text_crc32"),
             F.spark_partition_id().alias("origin"),
+            scores.alias("scores"),
         )
-        .repartitionByRange("doc_id", "text_crc32", "size", "origin")
-        .withColumn("range", F.spark_partition_id())
-        .withColumn("scores", scores)
         .withColumn("shard", best_shard(F.slice("scores", 1, len(weights))))
         .withColumn("grown_shard", best_shard(F.col("scores")) if grown else F.lit(None).cast("int"))
-        .drop("scores", "origin")
+        .drop("scores")
+        .repartitionByRange("doc_id", "text_crc32", "size", "origin")
+        .withColumn("range", F.spark_partition_id())
+        .drop("origin")
     )
     local = Window.partitionBy("range", "shard").orderBy("doc_id", "text_crc32", "size")
     with Stages(spark) as stages:
