@@ -13,7 +13,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm.common import pick
-from tidemark.staging import _file_system
+from tidemark.staging import file_system
 
 KEY = ("source", "lang", "tokenizer")
 SUMS = ("documents", "tokens")
@@ -34,7 +34,10 @@ def count_tokens(text: Column, tokenizer: str) -> Column:
 
 
 def token_counts(docs: DataFrame, *tokenizers: str) -> DataFrame:
-    """``doc_id, source, lang`` and a column of counts for each tokenizer version."""
+    """``doc_id, source, lang`` and a column of counts for each tokenizer version.
+
+    One row per row, repeated or not; null and empty texts have no tokens. Very long texts are
+    counted whole, without an array of their tokens. An empty table gives an empty one."""
     rows = pick(docs, "doc_id", "source", "lang", "text")
     counts = [count_tokens(F.col("text"), name).alias(name) for name in tokenizers]
     return rows.select("doc_id", "source", "lang", *counts)
@@ -82,20 +85,20 @@ class TokenRollup:
         self.folder = folder.rstrip("/")
 
     def _names(self, kind: str) -> list[str]:
-        location, files = _file_system(self.spark, f"{self.folder}/{kind}")
+        location, files = file_system(self.spark, f"{self.folder}/{kind}")
         if not files.exists(location):
             return []
         return sorted(status.getPath().getName() for status in files.listStatus(location))
 
     def _publish(self, write, kind: str, name: str) -> bool:
         """False if the name is taken already."""
-        target, files = _file_system(self.spark, f"{self.folder}/{kind}/{name}")
+        target, files = file_system(self.spark, f"{self.folder}/{kind}/{name}")
         if files.exists(target):
             return False
         aside = f"{self.folder}/unfinished/{uuid4().hex}"
         write(aside)
         files.mkdirs(target.getParent())
-        source, _ = _file_system(self.spark, aside)
+        source, _ = file_system(self.spark, aside)
         if files.exists(target) or not files.rename(source, target):
             files.delete(source, True)
             return False
@@ -105,7 +108,11 @@ class TokenRollup:
         """Adds a batch of deltas (columns of ``SCHEMA``); False if it was there already.
 
         Null sources, languages and versions are keys of their own; null counts count 0. An
-        empty batch is committed as well.
+        empty batch is committed as well. Rows that repeat within a batch count as often as they
+        are there; it is the batch's name that makes a replay count once. A delete of what was
+        never inserted leaves negative totals, which a later insert of it evens out. Further
+        columns are ignored, whatever they are called. The grouped sum is written as it is
+        partitioned, by as many tasks as its keys need.
         """
         if not re.fullmatch(r"[A-Za-z0-9_-]+", batch):
             raise ValueError(f"Not a batch name: {batch!r}")
@@ -115,7 +122,7 @@ class TokenRollup:
             *[F.coalesce(F.col(name).cast("long"), F.lit(0).cast("long")).alias(name) for name in SUMS],
         )
         return self._publish(
-            lambda path: _summed(filled).coalesce(1).write.parquet(path), "batches", batch
+            lambda path: _summed(filled).write.parquet(path), "batches", batch
         )
 
     def _read(self, path: str) -> DataFrame:
@@ -144,7 +151,7 @@ class TokenRollup:
         batches, number = self._names("batches"), len(self._names("snapshots"))
 
         def write(path: str) -> None:
-            self.totals().coalesce(1).write.parquet(f"{path}/totals")
+            self.totals().write.parquet(f"{path}/totals")
             names = self.spark.createDataFrame([(name,) for name in batches], "batch string")
             names.coalesce(1).write.parquet(f"{path}/covered")
 
