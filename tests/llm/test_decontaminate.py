@@ -3,7 +3,7 @@
 import random
 from itertools import combinations
 
-from tidemark.llm.decontaminate import Seeds, contamination, finds_all, mask_of
+from tidemark.llm.decontaminate import Seeds, clean_documents, contamination, finds_all, mask_of
 
 
 def test_masks_lose_no_allowed_pattern():
@@ -71,3 +71,28 @@ def test_overlaps_equal_the_definition(spark):
             if best:
                 first = min(best, key=lambda place: (-best[place], place))
                 assert (row.item_id, row.agreeing) == (first, best[first])
+
+
+def test_items_without_or_with_the_same_identifier(spark):
+    """A null or repeated identifier hides no item."""
+    first = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    second = " ".join(reversed(first.split()))
+    third = first.replace("t", "q")
+    items = spark.createDataFrame([(None, first), (7, second), (7, third), (7, third)], "item_id long, text string")
+    docs = spark.createDataFrame(
+        list(enumerate([f"x {first} y", f"{second} z", f"{third}", f"{first} {second}", "none of it"])),
+        "doc_id long, text string",
+    )
+    rows = {r.doc_id: r for r in contamination(docs, items).collect()}
+    assert [rows[n].contaminated for n in range(5)] == [True, True, True, True, False]
+    assert [rows[n].n_items for n in range(5)] == [1, 1, 2, 2, 0]
+    assert rows[0].item_id is None and rows[1].item_id == 7
+    assert {r.doc_id for r in clean_documents(docs, items).collect()} == {4}
+
+
+def test_shortest_item(spark):
+    items = spark.createDataFrame([(1, "the"), (2, "the end")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the start"), (2, "here is the end")], "doc_id long, text string")
+    assert {r.doc_id for r in contamination(docs, items).filter("contaminated").collect()} == {1, 2}
+    assert {r.doc_id for r in contamination(docs, items, Seeds(shortest=2)).filter("contaminated").collect()} == {2}
+    assert contamination(docs, items, Seeds(shortest=3)).filter("contaminated").count() == 0

@@ -22,13 +22,15 @@ from tidemark.staging import Stages
 class Seeds:
     """An overlap is ``window`` aligned tokens (the whole item if shorter) of which ``percent``
     of 100 agree; items of fewer than ``least`` tokens must agree as a whole. Of ``masks``, 1
-    for a position that counts, an item has the first that loses no overlap (``mask_of``). Up
+    for a position that counts, an item has the first that loses no overlap (``mask_of``).
+    Items of fewer than ``shortest`` tokens take no part: a lone common word is no passage. Up
     to ``broadcast_rows`` test windows are sent to all tasks, more are joined by shuffling."""
 
     masks: tuple[str, ...] = ("10111", "1011")
     window: int = 16
     percent: int = 80
     least: int = 6
+    shortest: int = 1
     broadcast_rows: int = 1_000_000
 
 
@@ -131,7 +133,7 @@ def overlaps(
     item_column: str = "item_id",
     item_text_column: str = "text",
 ) -> DataFrame:
-    """``text_key, item_id, start, end, agreeing``: verified overlaps, in tokens of the text
+    """``text_key, item, item_id, start, end, agreeing``: verified overlaps, in tokens of the text
     that ``text_key`` (its SHA-256) names.
 
     Windows join by hash with nothing but a number for their text. The few texts with hits
@@ -145,7 +147,9 @@ def overlaps(
         pick(benchmark, item_column, item_text_column)
         .toDF("item_id", "text")
         .select("item_id", token_hashes(text_or_empty()).alias("item_tokens"))
-        .filter(F.size("item_tokens") > 0),
+        .filter(F.size("item_tokens") >= max(1, seeds.shortest))
+        # The staged number, not the identifier, names an item: that may be null or repeated.
+        .withColumn("item", F.monotonically_increasing_id()),
         "benchmark-items",
     )
     width = F.least(F.lit(seeds.window), F.size("item_tokens"))
@@ -163,10 +167,10 @@ def overlaps(
     )
     test = stages(
         _windows(
-            items.select("item_id", by_length(numbers).alias("kind"), F.col("item_tokens").alias("tokens")),
+            items.select("item", by_length(numbers).alias("kind"), F.col("item_tokens").alias("tokens")),
             masks,
             F.col("kind"),
-        ).select("seed", "item_id", F.col("at").alias("item_at")),
+        ).select("seed", "item", F.col("at").alias("item_at")),
         "benchmark-windows",
     )
     if test.count() <= seeds.broadcast_rows:
@@ -175,10 +179,10 @@ def overlaps(
     hits = (
         _windows(tokens, masks)
         .join(test, "seed")
-        .groupBy("number_of", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        .groupBy("number_of", "item", (F.col("at") - F.col("item_at")).alias("shift"))
         .agg(F.min("item_at").alias("first_at"), F.max("item_at").alias("last_at"))
     )
-    hit = F.struct("item_id", "shift", "first_at", "last_at")
+    hit = F.struct("item", "shift", "first_at", "last_at")
     by_text = stages(
         hits.groupBy("number_of").agg(F.collect_list(hit).alias("hits")), "seed-hits"
     )
@@ -192,7 +196,7 @@ def overlaps(
         )
         .select("text_key", "tokens", F.explode("hits").alias("hit"))
         .select("text_key", "tokens", "hit.*")
-        .join(items, "item_id")
+        .join(items, "item")
         .withColumn("needed", width)
         .withColumn("stretches", _stretches(seeds))
         .withColumn(
@@ -207,6 +211,7 @@ def overlaps(
     until = F.least(F.col("last_at") + F.col("span"), F.col("last") + F.col("needed"))
     return compared.select(
         "text_key",
+        "item",
         "item_id",
         F.greatest(-F.col("best.before"), F.lit(0)).alias("start"),
         F.greatest(-F.col("best.before") + F.col("needed"), until + F.col("shift")).alias("end"),
@@ -229,7 +234,10 @@ def contamination(
 
     ``item_id`` is the item with the most agreeing tokens in one overlap (the smallest of
     equals); the tokens bound all overlaps with it, the end exclusive. Rows without an overlap
-    have 0 items and nulls. Null and empty texts have none, on either side. The result of a
+    have 0 items and nulls; a null identifier of an item is reported as null beside a count
+    above 0, and rows that repeat an identifier or a text are items of their own. Null and empty
+    texts have no overlap, on either side. A very long text is compared around its hits only;
+    one task holds its tokens. Further columns are ignored, whatever they are called. The result of a
     row depends on its text alone, so repeated rows and null identifiers are no special case.
     Empty tables give clean documents or no rows.
     """
@@ -238,7 +246,7 @@ def contamination(
             docs, benchmark, seeds, stages,
             text_column=text_column, item_column=item_column, item_text_column=item_text_column,
         )
-        by_item = found.groupBy("text_key", "item_id").agg(
+        by_item = found.groupBy("text_key", "item", "item_id").agg(
             F.max("agreeing").alias("agreeing"), F.min("start").alias("start"), F.max("end").alias("end")
         )
         # Most agreeing tokens, then the smallest item: min over (-agreeing, item).
