@@ -74,7 +74,7 @@ def assign_shards(
     spark = docs.sparkSession
     rows = pick(docs, id_column, text_column).toDF("doc_id", "text")
     scores = shard_scores(F.col("doc_id"), weights | dict(grown or {}))
-    keyed = (
+    narrow = (
         rows.select(
             "doc_id",
             (F.octet_length(text_or_empty()) + ROW_OVERHEAD).cast("long").alias("size"),
@@ -85,12 +85,16 @@ def assign_shards(
         .withColumn("shard", best_shard(F.slice("scores", 1, len(weights))))
         .withColumn("grown_shard", best_shard(F.col("scores")) if grown else F.lit(None).cast("int"))
         .drop("scores")
-        .repartitionByRange("doc_id", "text_crc32", "size", "origin")
-        .withColumn("range", F.spark_partition_id())
-        .drop("origin")
     )
     local = Window.partitionBy("range", "shard").orderBy("doc_id", "text_crc32", "size")
     with Stages(spark) as stages:
+        # Written before the splitters are sampled, which reads the rows a second time.
+        keyed = (
+            stages(narrow, "rendezvous-scored")
+            .repartitionByRange("doc_id", "text_crc32", "size", "origin")
+            .withColumn("range", F.spark_partition_id())
+            .drop("origin")
+        )
         numbered = stages(
             keyed.withColumn("place", F.row_number().over(local) - 1), "rendezvous-numbered"
         )
