@@ -34,13 +34,12 @@ class Quality:
     """``order`` of the model; ``quantile`` of the trusted documents' perplexities, by
     language, up to which a document is accepted; ``prior`` symbols with the mean of the
     language that every document counts besides its own; fewest trusted documents of a
-    language for a threshold of its own, and how many languages may have one."""
+    language for a threshold of its own, which any number of languages may have."""
 
     order: int = 4
     quantile: float = 0.995
     prior: int = 100
     least_trusted: int = 30
-    most_languages: int = 1000
 
 
 def symbol_table() -> np.ndarray:
@@ -237,23 +236,22 @@ class QualityModel:
         scored = _scored(rows.withColumn("fold", _fold(F.col("text"))), settings.order, self.model)
         self.scores = stages.keep(scored.drop("text", "fold"), "kn-scores")
         known = self.scores.join(trusted_ids, "doc_id", "left_semi").filter("symbols > 0")
-        self.thresholds = stages.keep(self._thresholds(known), "kn-thresholds")
+        self.thresholds = stages.keep(self._thresholds(known, stages), "kn-thresholds")
 
-    def _thresholds(self, known: DataFrame) -> DataFrame:
+    def _thresholds(self, known: DataFrame, stages: Stages) -> DataFrame:
         """``lang, mean, threshold``; the row of a null language holds for all others."""
         own = (
             known.groupBy("lang")
             .agg(F.count(F.lit(1)).alias("documents"), _mean_loss())
             .filter(F.col("documents") >= self.settings.least_trusted)
-            .orderBy(F.desc("documents"), "lang")
-            .limit(self.settings.most_languages)
         )
         all_ = known.agg(_mean_loss()).withColumn("lang", F.lit(None).cast("string"))
         means = own.select("lang", "mean").unionByName(all_.select("lang", "mean"))
         pooled = known.select(F.lit(None).cast("string").alias("lang"), "symbols", "loss")
         every = known.select("lang", "symbols", "loss").unionByName(pooled)
-        means = means.withColumnRenamed("lang", "of")
-        adjusted = every.join(F.broadcast(means), F.col("lang").eqNullSafe(F.col("of"))).select(
+        # A row for each language; written, so that Spark knows its size.
+        means = stages(means.withColumnRenamed("lang", "of"), "kn-means")
+        adjusted = every.join(means, F.col("lang").eqNullSafe(F.col("of"))).select(
             "lang", "mean", self._adjusted()
         )
         quantile = F.percentile_approx("adjusted", self.settings.quantile, 10_000)
@@ -267,13 +265,14 @@ class QualityModel:
     def judged(self, scored: DataFrame) -> DataFrame:
         """Adds ``perplexity, threshold, accepted`` to rows with ``lang, symbols, loss``.
 
-        Of at most ``most_languages + 1`` thresholds, the language's own or the common one."""
-        thresholds = F.broadcast(self.thresholds)
-        own = thresholds.filter("lang IS NOT NULL").select(
+        The threshold is the language's own or the common one. There is one row for each
+        language; Spark broadcasts them by their measured size and splits a large language
+        otherwise."""
+        own = self.thresholds.filter("lang IS NOT NULL").select(
             F.col("lang").alias("_lang"), F.col("mean").alias("_mean"), F.col("threshold").alias("_own")
         )
         common = self.thresholds.filter("lang IS NULL")
-        joined = scored.join(F.broadcast(own), F.col("lang") == F.col("_lang"), "left")
+        joined = scored.join(own, F.col("lang") == F.col("_lang"), "left")
         joined = joined.withColumn(
             "mean", F.coalesce("_mean", common.select("mean").scalar())
         ).withColumn("limit", F.coalesce("_own", common.select("threshold").scalar()))
