@@ -320,11 +320,11 @@ def test_merges_follow_rank_then_place():
 
 
 def _plain_model(texts, order):
-    """Interpolated modified Kneser-Ney by definition, over symbols."""
-    table, counts = kn.symbol_table(), Counter()
+    """Interpolated modified Kneser-Ney by definition, over characters."""
+    counts = Counter()
     for text in texts:
-        symbols = [kn.LINE] * (order - 1) + table[np.frombuffer(text.encode("utf-32-le"), np.uint32)].tolist()
-        counts.update(tuple(symbols[i : i + order]) for i in range(len(symbols) - order + 1))
+        symbols = "\n" * (order - 1) + text
+        counts.update(symbols[i : i + order] for i in range(len(text)))
     tables = {order: counts}
     for size in range(order - 1, 0, -1):
         tables[size] = Counter(gram[1:] for gram in tables[size + 1])
@@ -347,7 +347,7 @@ def _plain_model(texts, order):
 
     def probability(gram):
         if not gram:
-            return 1 / kn.ALPHABET
+            return 1 / (len(tables[1]) + 1)
         size = len(gram)
         seen = contexts[size].get(gram[:-1])
         if not seen:
@@ -361,28 +361,61 @@ def _plain_model(texts, order):
 
 
 def test_probabilities_equal_the_definition(spark):
-    texts = ["The cat, the hat.\nIt's 12 o'clock!", "A bat sat on that mat", "été à la plage", "that that"]
-    trusted = _docs(spark, texts).withColumn("fold", F.lit(0))
+    texts = ["The cat, the hat.\nIt's 12 o'clock!", "A bat sat on that mat", "été à la plage 🙂", "that that", "漢字 かな"]
+    docs = _docs(spark, texts).withColumn("lang", F.lit("en"))
+    trusted = docs.select("doc_id").filter("doc_id < 4")
+    rng, symbols = random.Random(10), sorted({*"".join(texts), "Q"})
+    grams = {"".join(rng.choice(symbols) for _ in range(3)) for _ in range(2000)}
+    grams |= {text[i : i + 3] for text in texts for i in range(len(text) - 2)}
+    wanted = spark.createDataFrame([(gram,) for gram in grams], "gram string")
     with Stages(spark) as stages:
-        logs = kn.log_probabilities(kn.model_tables(kn.count_tables(trusted, 3, stages)), 3)
-    probability = _plain_model(texts, 3)
-    rng = random.Random(10)
-    for _ in range(3000):
-        gram = tuple(rng.choice((0, 1, 2, 9, 21, 6, 28, 30, rng.randrange(kn.ALPHABET))) for _ in range(3))
-        code = (gram[0] * kn.ALPHABET + gram[1]) * kn.ALPHABET + gram[2]
-        assert logs[0][code] == pytest.approx(math.log(probability(gram)), abs=1e-5)
-    totals = np.exp(logs[0].astype(float)).reshape(-1, kn.ALPHABET).sum(axis=1)
-    assert np.allclose(totals, 1, atol=1e-4)
-    # Without trusted text all symbols are alike.
-    assert np.allclose(logs[1], -math.log(kn.ALPHABET))
+        blocks = kn.text_blocks(docs.select("doc_id", "lang", "text"), trusted, stages)
+        tables = kn.count_tables(blocks, 3, stages)
+        got = {r.gram: (r.p0, r.p1) for r in kn.probabilities(wanted, tables, stages).collect()}
+        scored = {r.doc_id: (r.symbols, r.loss) for r in kn.scores(blocks, tables, stages).collect()}
+    folds = {r.doc_id: r.fold for r in docs.select("doc_id", F.expr("pmod(xxhash64(text), 2) fold")).collect()}
+    plain = [_plain_model([texts[i] for i in range(4) if folds[i] == fold], 3) for fold in (0, 1)]
+    assert set(got) == grams
+    for gram, both in got.items():
+        assert both == pytest.approx([probability(gram) for probability in plain], rel=1e-9)
+    for at, text in enumerate(texts):
+        padded, own = "\n\n" + text, plain[1 - folds[at]]
+        loss = -sum(math.log(own(padded[i : i + 3])) for i in range(len(text)))
+        assert scored[at] == (len(text), pytest.approx(loss, rel=1e-9))
+
+
+def test_windows_of_many_characters_and_pieces(monkeypatch):
+    """More symbols than a plain base would hold, texts across pieces, empty texts among them."""
+    monkeypatch.setattr(kn, "PIECE", 1000)
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(9000)), "", "aé🙂", ""]
+    import zstandard
+
+    blob = zstandard.ZstdCompressor().compress("".join(texts).encode())
+    symbols = np.array([len(text) for text in texts])
+    windows = kn.Windows(blob, symbols, np.array([True] * 4), 5)
+    got = Counter()
+    for grams, numbers in windows.counts():
+        got.update(dict(zip(grams, numbers.tolist())))
+    want = Counter()
+    for text in texts:
+        padded = "\n" * 4 + text
+        want.update(padded[i : i + 5] for i in range(len(text)))
+    assert got == want
+    some = kn.Windows(blob, symbols, np.array([False, True, True, False]), 5)
+    assert dict((g, n) for grams, ns in some.counts() for g, n in zip(grams, ns)) == {
+        "\n\n\n\na": 1, "\n\n\naé": 1, "\n\naé🙂": 1
+    }
 
 
 def test_junk_is_rejected_and_clean_text_kept(spark, checked_warehouse):
     rows = QUERIES["op10_kneser_ney"](spark, checked_warehouse)
-    labels = spark.read.parquet(f"{checked_warehouse}/labels.parquet").filter("toxic = 0")
-    shares = {r.quality: r.share for r in rows.join(labels, "doc_id").groupBy("quality").agg(
+    labels = spark.read.parquet(f"{checked_warehouse}/labels.parquet")
+    shares = {(r.quality, r.toxic): r.share for r in rows.join(labels, "doc_id").groupBy("quality", "toxic").agg(
         F.avg(F.col("accepted").cast("int")).alias("share")).collect()}
-    assert shares[1] >= 0.97 and shares[0] <= 0.2
+    assert shares[1, 0] >= 0.97 and shares[0, 0] <= 0.2 and shares[0, 1] <= 0.2
+    # Good text with single insults is mostly good text to a language model.
+    assert shares[1, 1] <= 0.9
 
 
 # --- token totals ---

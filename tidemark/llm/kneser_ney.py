@@ -1,211 +1,337 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney n-gram model.
 
-The model counts n-grams of symbols in all trusted documents. Symbols are characters folded
-to a small alphabet (space, line end, a to z, other letters, capitals, digits, punctuation),
-which bounds every count table and the model by ``len(alphabet) ** order`` whatever the
-corpus. Counts, continuation counts, discounts and back-off weights come from grouped count
-tables that are sharded by n-gram and joined on their contexts. Documents are scored by a
-model that has not seen them: of two folds each is scored with the counts of the other.
+Symbols are the characters of a text as they stand, in any script, so the count tables grow
+with the trusted text. Counts, continuation counts, discounts and back-off weights are Spark
+tables grouped by n-gram and joined on contexts; none of them comes to the driver or is held
+by a task. Texts are written once in compressed blocks. A block asks for its different
+n-grams, which together join the tables order by order; the probabilities return to the block
+and score its texts. Documents are scored by a model that has not seen them: of two folds
+each is scored with the counts of the other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import pick, text_or_empty
 from tidemark.staging import Stages
 
-SPACE, LINE, LETTER, OTHER_LETTER, CAPITAL, DIGIT, MARK, OTHER = 0, 1, 2, 28, 29, 30, 31, 35
-#: Symbols in all.
-ALPHABET = 36
-#: Punctuation with a symbol of its own.
-MARKS = ".,'-"
 FOLDS = 2
+#: Line ends precede every text.
+LINE = ord("\n")
+#: Characters of a block of texts (a longer text is a block of its own), and of a piece of
+#: it that is counted at once.
+BLOCK_CHARACTERS = 16_000_000
+PIECE = 1_000_000
 
 
 @dataclass(frozen=True)
 class Quality:
-    """``order`` of the model; ``quantile`` of the trusted documents' perplexities, by
-    language, up to which a document is accepted; ``prior`` symbols with the mean of the
+    """``order`` of the model, 2 to 5; ``quantile`` of the trusted documents' perplexities,
+    by language, up to which a document is accepted; ``prior`` symbols with the mean of the
     language that every document counts besides its own; fewest trusted documents of a
     language for a threshold of its own, which any number of languages may have."""
 
-    order: int = 4
-    quantile: float = 0.995
+    order: int = 5
+    quantile: float = 0.99
     prior: int = 100
     least_trusted: int = 30
 
+    def __post_init__(self):
+        if not 2 <= self.order <= 5:
+            raise ValueError(f"Order must be 2 to 5: {self.order}")
 
-def symbol_table() -> np.ndarray:
-    """Symbol of every code point."""
-    table = np.full(0x110000, OTHER, np.uint8)
-    for code in range(0x3000):
-        character = chr(code)
-        if character in "\n\r":
-            table[code] = LINE
-        elif character.isspace():
-            table[code] = SPACE
-        elif "a" <= character <= "z":
-            table[code] = LETTER + code - ord("a")
-        elif character.isupper():
-            table[code] = CAPITAL
-        elif character.isalpha():
-            table[code] = OTHER_LETTER
-        elif character.isdigit():
-            table[code] = DIGIT
-    table[0x3000:][[chr(code).isalpha() for code in range(0x3000, 0x110000)]] = OTHER_LETTER
-    for place, mark in enumerate(MARKS):
-        table[ord(mark)] = MARK + place
-    return table
-
-
-def gram_codes(text: str, table: np.ndarray, order: int) -> np.ndarray:
-    """The n-gram that ends at each character, as a number; line ends precede the text."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = np.concatenate([np.full(order - 1, LINE, np.uint8), table[points]]).astype(np.int32)
-    codes = np.zeros(len(points), np.int32)
-    for place in range(order):
-        codes *= ALPHABET
-        codes += symbols[place : place + len(points)]
-    return codes
+
+# --- texts in blocks ---
+
+
+def _compressed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text as zstandard bytes, and its number of characters."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = batch.column("text").to_pylist()
+        packed = pa.array([squeeze(text.encode()) for text in texts], pa.binary())
+        sizes = pa.array([len(text) for text in texts], pa.int64())
+        others = [batch.column(name) for name in ("doc_id", "lang", "key")]
+        yield pa.RecordBatch.from_arrays(
+            [*others, sizes, packed], ["doc_id", "lang", "key", "symbols", "packed"]
+        )
+
+
+MEMBERS = ("doc_id", "lang", "key", "trusted", "symbols")
+
+
+def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in blocks: lists of their fields, all texts as one run of zstandard bytes."""
+    squeeze, expand = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    for batch in batches:
+        total = np.cumsum(batch.column("symbols").to_numpy())
+        number = total // BLOCK_CHARACTERS
+        edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+        for start, end in zip(edges, edges[1:]):
+            if start == end:
+                continue
+            rows = batch.slice(start, end - start)
+            texts = b"".join(expand.decompress(text.as_py()) for text in rows.column("packed"))
+            offsets = pa.array([0, rows.num_rows], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, rows.column(name)) for name in MEMBERS]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([uuid4().hex]), *lists, pa.array([squeeze.compress(texts)], pa.binary())],
+                ["block", *MEMBERS, "texts"],
+            )
+
+
+def text_blocks(rows: DataFrame, trusted_ids: DataFrame, stages: Stages) -> DataFrame:
+    """``rows`` (doc_id, lang, text) with text hashes and trust, written in blocks."""
+    kinds = dict(rows.dtypes)
+    packed = rows.withColumn("key", F.xxhash64("text")).mapInArrow(
+        _compressed, f"doc_id {kinds['doc_id']}, lang string, key long, symbols long, packed binary"
+    )
+    # Packed texts are hashed to the labels once and not sorted.
+    marks = trusted_ids.withColumn("trusted", F.lit(True)).hint("shuffle_hash")
+    marked = packed.join(marks, "doc_id", "left").select(
+        "doc_id", "lang", "key", F.coalesce("trusted", F.lit(False)).alias("trusted"), "symbols", "packed"
+    )
+    lists = ", ".join(
+        f"{name} array<{kind}>"
+        for name, kind in zip(MEMBERS, (kinds["doc_id"], "string", "bigint", "boolean", "bigint"))
+    )
+    blocks = marked.mapInArrow(_blocks, f"block string, {lists}, texts binary")
+    return stages(blocks, "kn-blocks")
+
+
+class Windows:
+    """The windows of ``order`` symbols that end at each character of a block's texts."""
+
+    def __init__(self, texts: bytes, symbols: np.ndarray, keep: np.ndarray, order: int):
+        points = np.frombuffer(
+            zstandard.ZstdDecompressor().decompress(texts).decode().encode("utf-32-le"), np.uint32
+        )
+        ends = np.cumsum(symbols)
+        pad = np.full(order - 1, LINE, np.uint32)
+        kept = [(points[end - size : end], size) for end, size in zip(ends[keep], symbols[keep])]
+        self.order = order
+        self.points = np.concatenate([part for text, _ in kept for part in (pad, text)] or [pad])
+        starts = np.cumsum([0, *(size + order - 1 for _, size in kept)], dtype=np.int64)[:-1]
+        #: Range of windows by text; those in between cross two texts.
+        self.ranges = [(int(at), int(at + size)) for at, (_, size) in zip(starts, kept)]
+        self.valid = np.zeros(len(self.points) - order + 1, bool)
+        for start, end in self.ranges:
+            self.valid[start:end] = True
+
+    def matrix(self, start: int, end: int) -> np.ndarray:
+        piece = self.points[start : end + self.order - 1]
+        return np.lib.stride_tricks.sliding_window_view(piece, self.order)
+
+    def counts(self) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Different n-grams with their numbers, piece by piece."""
+        for start in range(0, len(self.valid), PIECE):
+            end = min(start + PIECE, len(self.valid))
+            rows = self.matrix(start, end)[self.valid[start:end]]
+            if len(rows):
+                keys = Keys(rows).of(rows)
+                _, first, numbers = np.unique(keys, return_index=True, return_counts=True)
+                yield _strings(rows[first]), numbers
+
+
+class Keys:
+    """Numbers that tell the given n-grams apart exactly: all but the last two symbols are
+    ranked among each other, so that the number fits 63 bits in any script."""
+
+    def __init__(self, grams: np.ndarray):
+        self.alphabet = np.unique(grams)
+        self.base = len(self.alphabet)
+        self.heads = np.unique(self._head(self._ranks(grams)))
+
+    def _ranks(self, grams: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.alphabet, grams).astype(np.int64)
+
+    def _head(self, ranks: np.ndarray) -> np.ndarray:
+        head = np.zeros(len(ranks), np.int64)
+        for place in range(ranks.shape[1] - 2):
+            head = head * self.base + ranks[:, place]
+        return head
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        ranks = self._ranks(grams)
+        head = np.searchsorted(self.heads, self._head(ranks))
+        return (head * self.base + ranks[:, -2]) * self.base + ranks[:, -1]
+
+
+def _strings(grams: np.ndarray) -> list[str]:
+    width = grams.shape[1]
+    text = np.ascontiguousarray(grams).tobytes().decode("utf-32-le")
+    return [text[at : at + width] for at in range(0, len(text), width)]
+
+
+def _members(batch, place: int) -> dict[str, np.ndarray]:
+    own = {
+        name: np.asarray(batch.column(name)[place].as_py())
+        for name in ("key", "trusted", "symbols")
+    }
+    # By text, so that copies are in one fold.
+    return {**own, "fold": own["key"] % FOLDS}
+
+
+# --- count tables ---
 
 
 def _counting(order: int):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = symbol_table()
-        totals = np.zeros((FOLDS, ALPHABET**order), np.int64)
         for batch in batches:
-            for text, fold in zip(batch.column("text"), batch.column("fold").to_pylist()):
-                codes = gram_codes(text.as_py(), table, order)
-                if len(codes) * 4 < totals.shape[1]:
-                    grams, counts = np.unique(codes, return_counts=True)
-                    totals[fold, grams] += counts
-                else:
-                    totals[fold] += np.bincount(codes, minlength=totals.shape[1])
-        for fold in range(FOLDS):
-            grams = np.flatnonzero(totals[fold])
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "fold": pa.array(np.full(len(grams), fold, np.int32)),
-                    "gram": pa.array(grams.astype(np.int64)),
-                    "n": pa.array(totals[fold, grams]),
-                }
-            )
+            for place in range(batch.num_rows):
+                own, texts = _members(batch, place), batch.column("texts")[place].as_py()
+                for fold in range(FOLDS):
+                    keep = own["trusted"] & (own["fold"] == fold)
+                    for grams, numbers in Windows(texts, own["symbols"], keep, order).counts():
+                        zeros = np.zeros(len(numbers), np.int64)
+                        columns = [numbers if other == fold else zeros for other in range(FOLDS)]
+                        yield pa.RecordBatch.from_pydict(
+                            {"gram": grams, **{f"n{at}": pa.array(c) for at, c in enumerate(columns)}}
+                        )
 
     return count
 
 
-def count_tables(trusted: DataFrame, order: int, stages: Stages) -> list[DataFrame]:
-    """``fold, gram, n`` by order from 1: occurrences for the highest order, below it the
-    numbers of different symbols before an n-gram."""
-    counts = trusted.select("fold", "text").mapInArrow(
-        _counting(order), "fold int, gram long, n long"
-    )
-    top = counts.groupBy("fold", "gram").agg(F.sum("n").alias("n"))
+def count_tables(blocks: DataFrame, order: int, stages: Stages) -> list[DataFrame]:
+    """``gram, n0, n1`` by order from 1: occurrences in each fold for the highest order,
+    below it the numbers of different symbols before an n-gram."""
+    counts = blocks.mapInArrow(_counting(order), "gram string, n0 long, n1 long")
+    top = counts.groupBy("gram").agg(*[F.sum(f"n{fold}").alias(f"n{fold}") for fold in range(FOLDS)])
     tables = [stages(top, "kn-counts")]
     for size in range(order - 1, 0, -1):
-        shorter = tables[0].withColumn("gram", F.col("gram") % ALPHABET**size)
-        tables.insert(0, shorter.groupBy("fold", "gram").agg(F.count(F.lit(1)).alias("n")))
+        shorter = tables[0].withColumn("gram", F.expr(f"right(gram, {size})"))
+        numbers = [F.count_if(F.col(f"n{fold}") > 0).alias(f"n{fold}") for fold in range(FOLDS)]
+        tables.insert(0, stages(shorter.groupBy("gram").agg(*numbers), "kn-counts"))
     return tables
 
 
 def discounts(counts: DataFrame) -> DataFrame:
-    """``fold, d1, d2, d3``: discounts of counts 1, 2 and more, by Chen and Goodman's
-    estimates from counts of counts; where those do not exist or leave [0, count], the
-    discount is half the count, at most 1."""
-    numbers = counts.groupBy("fold").agg(
-        *[F.sum((F.col("n") == k).cast("double")).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    """One row with ``f<fold>_d1, _d2, _d3``: discounts of counts 1, 2 and more, by Chen and
+    Goodman's estimates from counts of counts; where those do not exist or leave [0, count],
+    the discount is half the count, at most 1. ``f<fold>_n``: the number of n-grams."""
+    numbers = counts.agg(
+        *[
+            F.count_if(F.col(f"n{fold}") == k if k else F.col(f"n{fold}") > 0).cast("double").alias(f"c{fold}_{k}")
+            for fold in range(FOLDS)
+            for k in range(5)
+        ]
     )
-    y = F.col("n1") / F.nullif(F.col("n1") + 2 * F.col("n2"), F.lit(0.0))
-
-    def discount(k: int) -> Column:
-        ratio = F.col(f"n{k + 1}") / F.nullif(F.col(f"n{k}"), F.lit(0.0))
-        value = k - (k + 1) * y * ratio
-        return F.when(value.between(0, k), value).otherwise(min(k / 2, 1.0)).alias(f"d{k}")
 
-    return numbers.select("fold", *[discount(k) for k in (1, 2, 3)])
+    def discount(fold: int, k: int) -> Column:
+        n = lambda k: F.col(f"c{fold}_{k}")
+        y = n(1) / F.nullif(n(1) + 2 * n(2), F.lit(0.0))
+        value = k - (k + 1) * y * n(k + 1) / F.nullif(n(k), F.lit(0.0))
+        return F.when(value.between(0, k), value).otherwise(min(k / 2, 1.0)).alias(f"f{fold}_d{k}")
 
-
-def model_tables(tables: list[DataFrame]) -> DataFrame:
-    """``size, fold, gram, share, weight``: of each n-gram the discounted share of its
-    context's count, and the weight that the context leaves to the next lower order."""
-
-    def of_order(size: int, counts: DataFrame) -> DataFrame:
-        n = F.col("n")
-        cut = F.when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
-        entries = (
-            counts.join(discounts(counts), "fold")
-            .withColumn("context", F.floor(F.col("gram") / ALPHABET))
-            .withColumn("cut", cut)
-        )
-        contexts = entries.groupBy("fold", "context").agg(
-            F.sum("n").alias("total"), F.sum("cut").alias("left")
-        )
-        return entries.join(contexts, ["fold", "context"]).select(
-            F.lit(size).alias("size"),
-            "fold",
-            "gram",
-            ((n - F.col("cut")) / F.col("total")).alias("share"),
-            (F.col("left") / F.col("total")).alias("weight"),
-        )
-
-    return reduce(
-        DataFrame.unionByName, [of_order(size, counts) for size, counts in enumerate(tables, 1)]
+    return numbers.select(
+        *[discount(fold, k) for fold in range(FOLDS) for k in (1, 2, 3)],
+        *[F.col(f"c{fold}_0").alias(f"f{fold}_n") for fold in range(FOLDS)],
     )
 
 
-def log_probabilities(model: DataFrame, order: int) -> np.ndarray:
-    """Natural logarithms by fold and n-gram: ``FOLDS * ALPHABET ** order`` numbers at most
-    come to the driver, whatever the corpus. Without counts all symbols are alike."""
-    table = model.toArrow()
-    entries = {name: table[name].to_numpy() for name in table.column_names}
-    out = np.empty((FOLDS, ALPHABET**order), np.float32)
-    for fold in range(FOLDS):
-        below = np.full(ALPHABET, 1 / ALPHABET)
-        for size in range(1, order + 1):
-            own = (entries["size"] == size) & (entries["fold"] == fold)
-            grams = entries["gram"][own]
-            share = np.zeros(ALPHABET**size)
-            share[grams] = entries["share"][own]
-            weight = np.ones(ALPHABET ** (size - 1))
-            weight[grams // ALPHABET] = entries["weight"][own]
-            # The next lower order knows the n-gram without its first symbol.
-            shorter = np.tile(below, ALPHABET) if size > 1 else below
-            below = share + np.repeat(weight, ALPHABET) * shorter
-        out[fold] = np.log(below)
-    return out
-
-
-def _scoring(order: int, model):
-    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, logs = symbol_table(), model.value
+def probabilities(wanted: DataFrame, tables: list[DataFrame], stages: Stages) -> DataFrame:
+    """``gram, p0, p1``: of the different n-grams ``wanted`` (gram) the probability of the
+    last symbol in each fold. Order by order, they join the counts by n-gram, the sums by
+    context and the probabilities of one order less by suffix. Below the first order all
+    symbols of the fold and an unknown one are alike."""
+    order = len(tables)
+    below = None
+    for size, counts in enumerate(tables, 1):
+        # A single row, the same for all n-grams of an order.
+        cuts = stages(discounts(counts), "kn-discounts")
+        value = lambda name: cuts.select(name).scalar()
+
+        def cut(fold: int) -> Column:
+            n = F.col(f"n{fold}")
+            by_count = F.when(n == 1, value(f"f{fold}_d1")).when(n == 2, value(f"f{fold}_d2"))
+            return F.when(n > 0, by_count.otherwise(value(f"f{fold}_d3"))).otherwise(0.0)
+
+        entries = counts.select("gram", *[f"n{f}" for f in range(FOLDS)], *[cut(f).alias(f"cut{f}") for f in range(FOLDS)])
+        context = F.expr(f"left(gram, {size - 1})").alias("context")
+        sums = [F.sum(f"{of}{f}").alias(f"{to}{f}") for f in range(FOLDS) for of, to in (("n", "total"), ("cut", "left"))]
+        contexts = entries.groupBy(context).agg(*sums)
+        grams = wanted.select(F.expr(f"right(gram, {size})").alias("gram"))
+        grams = (grams if size == order else grams.distinct()).select("gram", context, F.expr(f"right(gram, {size - 1})").alias("suffix"))
+        joined = grams.join(entries, "gram", "left").join(contexts, "context", "left")
+        if below is None:
+            lower = [1 / (value(f"f{fold}_n") + 1) for fold in range(FOLDS)]
+        else:
+            joined = joined.join(below.toDF("suffix", *[f"q{f}" for f in range(FOLDS)]), "suffix")
+            lower = [F.col(f"q{fold}") for fold in range(FOLDS)]
+
+        def interpolated(fold: int) -> Column:
+            total = F.nullif(F.col(f"total{fold}"), F.lit(0))
+            share = F.coalesce((F.col(f"n{fold}") - F.col(f"cut{fold}")) / total, F.lit(0.0))
+            return share + F.coalesce(F.col(f"left{fold}") / total, F.lit(1.0)) * lower[fold]
+
+        below = stages(joined.select("gram", *[interpolated(f).alias(f"p{f}") for f in range(FOLDS)]), "kn-order")
+    return below
+
+
+# --- scores ---
+
+
+def _asking(order: int):
+    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, losses = [], []
-            for text, fold in zip(batch.column("text"), batch.column("fold").to_pylist()):
-                codes = gram_codes(text.as_py() or "", table, order)
-                sizes.append(len(codes))
-                # The model of the other fold has not seen this text.
-                losses.append(-float(logs[1 - fold][codes].sum(dtype=np.float64)))
-            columns = [*batch.columns, pa.array(sizes, pa.int64()), pa.array(losses, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "symbols", "loss"])
+            for place in range(batch.num_rows):
+                own, texts = _members(batch, place), batch.column("texts")[place].as_py()
+                block, every = batch.column("block")[place].as_py(), np.ones(len(own["fold"]), bool)
+                for grams, _ in Windows(texts, own["symbols"], every, order).counts():
+                    yield pa.RecordBatch.from_pydict({"block": [block] * len(grams), "gram": grams})
+
+    return ask
+
+
+def _scoring(order: int):
+    def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
+        batch = blocks.combine_chunks()
+        own, texts = _members(batch, 0), batch.column("texts")[0].as_py()
+        windows = Windows(texts, own["symbols"], np.ones(len(own["fold"]), bool), order)
+        losses = np.zeros(len(own["fold"]))
+        if answers.num_rows:
+            known = "".join(answers.column("gram").to_pylist()).encode("utf-32-le")
+            known = np.frombuffer(known, np.uint32).reshape(-1, order)
+            numbers = Keys(known)
+            keys = numbers.of(known)
+            sort = np.argsort(keys)
+            # The model of the other fold has not seen a text.
+            logs = [np.log(answers.column(f"p{1 - fold}").to_numpy())[sort] for fold in range(FOLDS)]
+            keys = keys[sort]
+            found = np.zeros(len(windows.valid), np.int32)
+            for start in range(0, len(found), PIECE):
+                end = min(start + PIECE, len(found))
+                valid = windows.valid[start:end]
+                asked = numbers.of(windows.matrix(start, end)[valid])
+                found[start:end][valid] = np.searchsorted(keys, asked)
+            for place, (start, end) in enumerate(windows.ranges):
+                losses[place] = -float(logs[own["fold"][place]][found[start:end]].sum())
+        fields = [pa.chunked_array([batch.column(name).combine_chunks().flatten()]) for name in ("doc_id", "lang", "key", "symbols")]
+        return pa.table([*fields, pa.array(losses)], ["doc_id", "lang", "key", "symbols", "loss"])
 
     return score
 
 
-def _scored(rows: DataFrame, order: int, model) -> DataFrame:
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes)
-    return rows.mapInArrow(_scoring(order, model), f"{schema}, symbols long, loss double")
-
-
-def _fold(text: Column) -> Column:
-    """By text, so that copies are in one fold."""
-    return F.pmod(F.xxhash64(text), F.lit(FOLDS)).cast("int")
+def scores(blocks: DataFrame, tables: list[DataFrame], stages: Stages) -> DataFrame:
+    """``doc_id, lang, key, symbols, loss`` of every row of the blocks."""
+    order = len(tables)
+    asked = stages(blocks.mapInArrow(_asking(order), "block string, gram string").distinct(), "kn-asked")
+    model = probabilities(asked.select("gram").distinct(), tables, stages)
+    answers = asked.join(model, "gram").select("block", "gram", "p0", "p1")
+    kind = dict(blocks.dtypes)["doc_id"].removeprefix("array<").removesuffix(">")
+    return (
+        blocks.groupBy("block")
+        .cogroup(answers.groupBy("block"))
+        .applyInArrow(_scoring(order), f"doc_id {kind}, lang string, key long, symbols long, loss double")
+    )
 
 
 def _mean_loss() -> Column:
@@ -217,7 +343,6 @@ class QualityModel:
 
     def __init__(self, docs: DataFrame, labels: DataFrame, settings: Quality, stages: Stages):
         self.settings = settings
-        spark = docs.sparkSession
         rows = pick(docs, "doc_id", "lang", "text").select(
             "doc_id", _language().alias("lang"), text_or_empty().alias("text")
         )
@@ -227,14 +352,9 @@ class QualityModel:
             .select("doc_id")
             .distinct()
         )
-        # Texts are hashed to the labels once and not sorted.
-        trusted = rows.join(trusted_ids.hint("shuffle_hash"), "doc_id", "left_semi")
-        trusted = trusted.withColumn("fold", _fold(F.col("text")))
-        tables = count_tables(trusted, settings.order, stages)
-        logs = log_probabilities(model_tables(tables), settings.order)
-        self.model = spark.sparkContext.broadcast(logs)
-        scored = _scored(rows.withColumn("fold", _fold(F.col("text"))), settings.order, self.model)
-        self.scores = stages.keep(scored.drop("text", "fold"), "kn-scores")
+        blocks = text_blocks(rows, trusted_ids, stages)
+        tables = count_tables(blocks, settings.order, stages)
+        self.scores = stages.keep(scores(blocks, tables, stages), "kn-scores")
         known = self.scores.join(trusted_ids, "doc_id", "left_semi").filter("symbols > 0")
         self.thresholds = stages.keep(self._thresholds(known, stages), "kn-thresholds")
 
@@ -316,16 +436,17 @@ def accepted_documents(
 ) -> DataFrame:
     """The rows of ``docs`` that ``quality_scores`` accepts, with their columns.
 
-    Texts are scored a second time where they lie instead of being shuffled to their scores.
-    """
+    A row is accepted by its identifier, language and text, known by 64 bits."""
     with Stages(docs.sparkSession) as stages:
         model = QualityModel(docs, labels, settings, stages)
+    accepted = model.judged(model.scores).filter("accepted")
+    wanted = accepted.select("doc_id", "lang", "key").distinct().toDF("id", "language", "text_key")
     plain = docs.toDF(*[f"_{place}" for place in range(len(docs.columns))])
-    names = {name: f"_{docs.columns.index(name)}" for name in ("lang", "text")}
-    rows = plain.select(
-        "*",
-        F.coalesce(F.col(names["lang"]).cast("string"), F.lit("")).alias("lang"),
-        F.coalesce(F.col(names["text"]).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("fold", _fold(F.col("text")))
-    judged = model.judged(_scored(rows, settings.order, model.model))
-    return judged.filter("accepted").select(*plain.columns).toDF(*docs.columns)
+    doc_id, lang, text = (F.col(f"_{docs.columns.index(name)}") for name in ("doc_id", "lang", "text"))
+    same = (
+        doc_id.eqNullSafe(F.col("id"))
+        & (F.coalesce(lang.cast("string"), F.lit("")) == F.col("language"))
+        & (F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))) == F.col("text_key"))
+    )
+    # Texts are hashed to what is accepted once and not sorted.
+    return plain.join(wanted.hint("shuffle_hash"), same, "left_semi").toDF(*docs.columns)
