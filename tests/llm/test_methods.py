@@ -370,9 +370,10 @@ def test_probabilities_equal_the_definition(spark):
     wanted = spark.createDataFrame([(gram,) for gram in grams], "gram string")
     with Stages(spark) as stages:
         blocks = kn.text_blocks(docs.select("doc_id", "lang", "text"), trusted, stages)
-        tables = kn.count_tables(blocks, 3, stages)
+        counted = kn.block_grams(blocks, 3, stages)
+        tables = kn.count_tables(counted, 3, stages)
         got = {r.gram: (r.p0, r.p1) for r in kn.probabilities(wanted, tables, stages).collect()}
-        scored = {r.doc_id: (r.symbols, r.loss) for r in kn.scores(blocks, tables, stages).collect()}
+        scored = {r.doc_id: (r.symbols, r.loss) for r in kn.scores(blocks, counted, tables, stages).collect()}
     folds = {r.doc_id: r.fold for r in docs.select("doc_id", F.expr("pmod(xxhash64(text), 2) fold")).collect()}
     plain = [_plain_model([texts[i] for i in range(4) if folds[i] == fold], 3) for fold in (0, 1)]
     assert set(got) == grams
@@ -393,19 +394,18 @@ def test_windows_of_many_characters_and_pieces(monkeypatch):
 
     blob = zstandard.ZstdCompressor().compress("".join(texts).encode())
     symbols = np.array([len(text) for text in texts])
-    windows = kn.Windows(blob, symbols, np.array([True] * 4), 5)
-    got = Counter()
-    for grams, numbers in windows.counts():
-        got.update(dict(zip(grams, numbers.tolist())))
-    want = Counter()
-    for text in texts:
+    windows = kn.Windows(blob, symbols, 5)
+    assert windows.heads is not None
+    folds = [0, 1, 1, 2]
+    keys, totals = windows.counts(np.array(folds))
+    got = {gram: tuple(n) for gram, n in zip(windows.strings(keys), totals.T.tolist())}
+    want = defaultdict(lambda: [0, 0])
+    for text, fold in zip(texts, folds):
         padded = "\n" * 4 + text
-        want.update(padded[i : i + 5] for i in range(len(text)))
-    assert got == want
-    some = kn.Windows(blob, symbols, np.array([False, True, True, False]), 5)
-    assert dict((g, n) for grams, ns in some.counts() for g, n in zip(grams, ns)) == {
-        "\n\n\n\na": 1, "\n\n\naé": 1, "\n\naé🙂": 1
-    }
+        for i in range(len(text)):
+            want[padded[i : i + 5]][fold] += 1
+    assert got == {gram: tuple(n) for gram, n in want.items()}
+    assert windows.numbers(list(got)).tolist() == keys.tolist()
 
 
 def test_junk_is_rejected_and_clean_text_kept(spark, checked_warehouse):

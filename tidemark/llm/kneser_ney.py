@@ -108,61 +108,102 @@ def text_blocks(rows: DataFrame, trusted_ids: DataFrame, stages: Stages) -> Data
 
 
 class Windows:
-    """The windows of ``order`` symbols that end at each character of a block's texts."""
+    """The windows of ``order`` symbols that end at each character of a block's texts, as
+    numbers that tell them apart exactly: symbols are ranked within the block, and where a
+    block has too many of them for 63 bits all but the last two of a window are ranked too."""
 
-    def __init__(self, texts: bytes, symbols: np.ndarray, keep: np.ndarray, order: int):
+    def __init__(self, texts: bytes, symbols: np.ndarray, order: int):
         points = np.frombuffer(
             zstandard.ZstdDecompressor().decompress(texts).decode().encode("utf-32-le"), np.uint32
         )
         ends = np.cumsum(symbols)
         pad = np.full(order - 1, LINE, np.uint32)
-        kept = [(points[end - size : end], size) for end, size in zip(ends[keep], symbols[keep])]
+        padded = np.concatenate(
+            [part for end, size in zip(ends, symbols) for part in (pad, points[end - size : end])] or [pad]
+        )
+        starts = np.cumsum([0, *(symbols + order - 1)], dtype=np.int64)[:-1]
         self.order = order
-        self.points = np.concatenate([part for text, _ in kept for part in (pad, text)] or [pad])
-        starts = np.cumsum([0, *(size + order - 1 for _, size in kept)], dtype=np.int64)[:-1]
         #: Range of windows by text; those in between cross two texts.
-        self.ranges = [(int(at), int(at + size)) for at, (_, size) in zip(starts, kept)]
-        self.valid = np.zeros(len(self.points) - order + 1, bool)
-        for start, end in self.ranges:
-            self.valid[start:end] = True
-
-    def matrix(self, start: int, end: int) -> np.ndarray:
-        piece = self.points[start : end + self.order - 1]
-        return np.lib.stride_tricks.sliding_window_view(piece, self.order)
-
-    def counts(self) -> Iterator[tuple[list[str], np.ndarray]]:
-        """Different n-grams with their numbers, piece by piece."""
-        for start in range(0, len(self.valid), PIECE):
-            end = min(start + PIECE, len(self.valid))
-            rows = self.matrix(start, end)[self.valid[start:end]]
-            if len(rows):
-                keys = Keys(rows).of(rows)
-                _, first, numbers = np.unique(keys, return_index=True, return_counts=True)
-                yield _strings(rows[first]), numbers
-
-
-class Keys:
-    """Numbers that tell the given n-grams apart exactly: all but the last two symbols are
-    ranked among each other, so that the number fits 63 bits in any script."""
-
-    def __init__(self, grams: np.ndarray):
-        self.alphabet = np.unique(grams)
+        self.ranges = [(int(at), int(at + size)) for at, size in zip(starts, symbols)]
+        self.size = len(padded) - order + 1
+        present = np.zeros(0x110000, bool)
+        present[padded] = True
+        self.alphabet = np.flatnonzero(present).astype(np.uint32)
         self.base = len(self.alphabet)
-        self.heads = np.unique(self._head(self._ranks(grams)))
-
-    def _ranks(self, grams: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.alphabet, grams).astype(np.int64)
-
-    def _head(self, ranks: np.ndarray) -> np.ndarray:
-        head = np.zeros(len(ranks), np.int64)
-        for place in range(ranks.shape[1] - 2):
-            head = head * self.base + ranks[:, place]
-        return head
-
-    def of(self, grams: np.ndarray) -> np.ndarray:
-        ranks = self._ranks(grams)
-        head = np.searchsorted(self.heads, self._head(ranks))
-        return (head * self.base + ranks[:, -2]) * self.base + ranks[:, -1]
+        self.rank = np.cumsum(present, dtype=np.int32) - 1
+        self.ranks = self.rank[padded]
+        self.heads = None
+        if self.base**order >= 2**63:
+            pieces = [np.unique(self._join(place, order - 2)) for place in self._pieces()]
+            self.heads = np.unique(np.concatenate(pieces))
+
+    def _pieces(self) -> Iterator[slice]:
+        for start in range(0, self.size, PIECE):
+            yield slice(start, min(start + PIECE, self.size))
+
+    def _join(self, place: slice, width: int, first: int = 0) -> np.ndarray:
+        codes = np.zeros(place.stop - place.start, np.int64)
+        for at in range(first, first + width):
+            codes = codes * self.base + self.ranks[place.start + at : place.stop + at]
+        return codes
+
+    def _keys(self, place: slice) -> np.ndarray:
+        if self.heads is None:
+            return self._join(place, self.order)
+        head = np.searchsorted(self.heads, self._join(place, self.order - 2))
+        return head * self.base**2 + self._join(place, 2, self.order - 2)
+
+    def counts(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Different n-grams (sorted numbers) and how often each fold's trusted texts hold
+        them; ``groups`` has the fold of a trusted text, ``FOLDS`` for others."""
+        kind = np.full(self.size, -1, np.int8)
+        for group, (start, end) in zip(groups, self.ranges):
+            kind[start:end] = group
+        found = []
+        for place in self._pieces():
+            keys, own = self._keys(place), kind[place]
+            for group in range(FOLDS + 1):
+                some = np.sort(keys[own == group])
+                first = np.flatnonzero(np.diff(some, prepend=-1))
+                numbers = np.diff(first, append=len(some))
+                found.append((group, some[first], numbers))
+        every, at = np.unique(np.concatenate([keys for _, keys, _ in found]), return_inverse=True)
+        totals, done = np.zeros((FOLDS + 1, len(every)), np.int64), 0
+        for group, keys, numbers in found:
+            totals[group, at[done : done + len(keys)]] += numbers
+            done += len(keys)
+        return every, totals[:FOLDS]
+
+    def strings(self, keys: np.ndarray) -> list[str]:
+        symbols = np.empty((len(keys), self.order), np.int64)
+        for at in range(self.order - 1, -1, -1):
+            if self.heads is not None and at == self.order - 3:
+                keys = self.heads[keys]
+            keys, symbols[:, at] = np.divmod(keys, self.base)
+        return _strings(self.alphabet[symbols])
+
+    def numbers(self, grams: list[str]) -> np.ndarray:
+        """Numbers of n-grams that the block holds."""
+        points = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32)
+        ranks = self.rank[points].reshape(-1, self.order).astype(np.int64)
+        weights = self.base ** np.arange(self.order, dtype=np.int64)[::-1]
+        if self.heads is None:
+            return ranks @ weights
+        head = np.searchsorted(self.heads, ranks[:, :-2] @ weights[2:])
+        return head * self.base**2 + ranks[:, -2:] @ weights[-2:]
+
+    def losses(self, keys: np.ndarray, logs: list[np.ndarray], folds: np.ndarray) -> np.ndarray:
+        """Of each text the negative sum of its windows' logarithms, those of ``keys``, in
+        the fold that has not seen it."""
+        place = np.argsort(keys)
+        keys = keys[place]
+        found = np.zeros(self.size, np.int32)
+        for piece in self._pieces():
+            found[piece] = np.searchsorted(keys, self._keys(piece))
+        logs = [log[place] for log in logs]
+        return np.array(
+            [-float(logs[1 - fold][found[start:end]].sum()) for fold, (start, end) in zip(folds, self.ranges)]
+        )
 
 
 def _strings(grams: np.ndarray) -> list[str]:
@@ -187,24 +228,34 @@ def _counting(order: int):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place in range(batch.num_rows):
-                own, texts = _members(batch, place), batch.column("texts")[place].as_py()
-                for fold in range(FOLDS):
-                    keep = own["trusted"] & (own["fold"] == fold)
-                    for grams, numbers in Windows(texts, own["symbols"], keep, order).counts():
-                        zeros = np.zeros(len(numbers), np.int64)
-                        columns = [numbers if other == fold else zeros for other in range(FOLDS)]
-                        yield pa.RecordBatch.from_pydict(
-                            {"gram": grams, **{f"n{at}": pa.array(c) for at, c in enumerate(columns)}}
-                        )
+                own = _members(batch, place)
+                windows = Windows(batch.column("texts")[place].as_py(), own["symbols"], order)
+                groups = np.where(own["trusted"], own["fold"], FOLDS)
+                keys, totals = windows.counts(groups)
+                block = batch.column("block")[place].as_py()
+                for start in range(0, len(keys), PIECE):
+                    some = slice(start, start + PIECE)
+                    grams = windows.strings(keys[some])
+                    columns = {f"n{fold}": pa.array(totals[fold, some]) for fold in range(FOLDS)}
+                    yield pa.RecordBatch.from_pydict(
+                        {"block": [block] * len(grams), "gram": grams, **columns}
+                    )
 
     return count
 
 
-def count_tables(blocks: DataFrame, order: int, stages: Stages) -> list[DataFrame]:
+def block_grams(blocks: DataFrame, order: int, stages: Stages) -> DataFrame:
+    """``block, gram, n0, n1``: the different n-grams of each block and how often trusted
+    texts of each fold hold them there."""
+    schema = "block string, gram string, n0 long, n1 long"
+    return stages(blocks.mapInArrow(_counting(order), schema), "kn-grams")
+
+
+def count_tables(grams: DataFrame, order: int, stages: Stages) -> list[DataFrame]:
     """``gram, n0, n1`` by order from 1: occurrences in each fold for the highest order,
     below it the numbers of different symbols before an n-gram."""
-    counts = blocks.mapInArrow(_counting(order), "gram string, n0 long, n1 long")
-    top = counts.groupBy("gram").agg(*[F.sum(f"n{fold}").alias(f"n{fold}") for fold in range(FOLDS)])
+    counts = grams.filter("n0 + n1 > 0").groupBy("gram")
+    top = counts.agg(*[F.sum(f"n{fold}").alias(f"n{fold}") for fold in range(FOLDS)])
     tables = [stages(top, "kn-counts")]
     for size in range(order - 1, 0, -1):
         shorter = tables[0].withColumn("gram", F.expr(f"right(gram, {size})"))
@@ -279,58 +330,36 @@ def probabilities(wanted: DataFrame, tables: list[DataFrame], stages: Stages) ->
 # --- scores ---
 
 
-def _asking(order: int):
-    def ask(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for place in range(batch.num_rows):
-                own, texts = _members(batch, place), batch.column("texts")[place].as_py()
-                block, every = batch.column("block")[place].as_py(), np.ones(len(own["fold"]), bool)
-                for grams, _ in Windows(texts, own["symbols"], every, order).counts():
-                    yield pa.RecordBatch.from_pydict({"block": [block] * len(grams), "gram": grams})
-
-    return ask
-
-
 def _scoring(order: int):
     def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         batch = blocks.combine_chunks()
-        own, texts = _members(batch, 0), batch.column("texts")[0].as_py()
-        windows = Windows(texts, own["symbols"], np.ones(len(own["fold"]), bool), order)
+        own = _members(batch, 0)
         losses = np.zeros(len(own["fold"]))
         if answers.num_rows:
-            known = "".join(answers.column("gram").to_pylist()).encode("utf-32-le")
-            known = np.frombuffer(known, np.uint32).reshape(-1, order)
-            numbers = Keys(known)
-            keys = numbers.of(known)
-            sort = np.argsort(keys)
-            # The model of the other fold has not seen a text.
-            logs = [np.log(answers.column(f"p{1 - fold}").to_numpy())[sort] for fold in range(FOLDS)]
-            keys = keys[sort]
-            found = np.zeros(len(windows.valid), np.int32)
-            for start in range(0, len(found), PIECE):
-                end = min(start + PIECE, len(found))
-                valid = windows.valid[start:end]
-                asked = numbers.of(windows.matrix(start, end)[valid])
-                found[start:end][valid] = np.searchsorted(keys, asked)
-            for place, (start, end) in enumerate(windows.ranges):
-                losses[place] = -float(logs[own["fold"][place]][found[start:end]].sum())
-        fields = [pa.chunked_array([batch.column(name).combine_chunks().flatten()]) for name in ("doc_id", "lang", "key", "symbols")]
-        return pa.table([*fields, pa.array(losses)], ["doc_id", "lang", "key", "symbols", "loss"])
+            windows = Windows(batch.column("texts")[0].as_py(), own["symbols"], order)
+            keys = windows.numbers(answers.column("gram").to_pylist())
+            logs = [np.log(answers.column(f"p{fold}").to_numpy()) for fold in range(FOLDS)]
+            losses = windows.losses(keys, logs, own["fold"])
+        names = ("doc_id", "lang", "key", "symbols")
+        fields = [batch.column(name).combine_chunks().flatten() for name in names]
+        return pa.table([*fields, pa.array(losses)], [*names, "loss"])
 
     return score
 
 
-def scores(blocks: DataFrame, tables: list[DataFrame], stages: Stages) -> DataFrame:
+def scores(
+    blocks: DataFrame, grams: DataFrame, tables: list[DataFrame], stages: Stages
+) -> DataFrame:
     """``doc_id, lang, key, symbols, loss`` of every row of the blocks."""
-    order = len(tables)
-    asked = stages(blocks.mapInArrow(_asking(order), "block string, gram string").distinct(), "kn-asked")
-    model = probabilities(asked.select("gram").distinct(), tables, stages)
-    answers = asked.join(model, "gram").select("block", "gram", "p0", "p1")
+    model = probabilities(grams.select("gram").distinct(), tables, stages)
+    answers = grams.select("block", "gram").join(model, "gram").select("block", "gram", "p0", "p1")
     kind = dict(blocks.dtypes)["doc_id"].removeprefix("array<").removesuffix(">")
     return (
         blocks.groupBy("block")
         .cogroup(answers.groupBy("block"))
-        .applyInArrow(_scoring(order), f"doc_id {kind}, lang string, key long, symbols long, loss double")
+        .applyInArrow(
+            _scoring(len(tables)), f"doc_id {kind}, lang string, key long, symbols long, loss double"
+        )
     )
 
 
@@ -353,8 +382,9 @@ class QualityModel:
             .distinct()
         )
         blocks = text_blocks(rows, trusted_ids, stages)
-        tables = count_tables(blocks, settings.order, stages)
-        self.scores = stages.keep(scores(blocks, tables, stages), "kn-scores")
+        grams = block_grams(blocks, settings.order, stages)
+        tables = count_tables(grams, settings.order, stages)
+        self.scores = stages.keep(scores(blocks, grams, tables, stages), "kn-scores")
         known = self.scores.join(trusted_ids, "doc_id", "left_semi").filter("symbols > 0")
         self.thresholds = stages.keep(self._thresholds(known, stages), "kn-thresholds")
 
