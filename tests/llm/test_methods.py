@@ -421,7 +421,6 @@ def test_junk_is_rejected_and_clean_text_kept(spark, checked_warehouse):
     assert shares[1, 0] >= 0.97 and shares[0, 0] <= 0.2 and shares[0, 1] <= 0.2
 
 
-@pytest.mark.xfail(reason="0.952 of 42 such rows are accepted here, 0.80 of 382 on sf0.1: see README")
 def test_toxic_text_is_rejected(spark, checked_warehouse):
     assert _accepted_shares(spark, checked_warehouse)[1, 1] <= 0.9
 

@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.common import pick, text_or_empty
@@ -36,17 +36,24 @@ PIECE = 1_000_000
 class Quality:
     """``order`` of the model, 2 to 5; ``quantile`` of the trusted documents' perplexities,
     by language, up to which a document is accepted; ``prior`` symbols with the mean of the
-    language that every document counts besides its own; fewest trusted documents of a
-    language for a threshold of its own, which any number of languages may have."""
+    language that every document counts besides its own; ``narrowing``, the power of the
+    length by which perplexities of trusted documents close in on their mean (0.5 if symbols
+    were independent of each other), so that each is restated for a text of ``length``
+    symbols before the quantile is taken; fewest trusted documents of a language for a
+    threshold of its own, which any number of languages may have."""
 
     order: int = 5
-    quantile: float = 0.99
+    quantile: float = 0.98
     prior: int = 100
+    narrowing: float = 0.35
+    length: int = 1000
     least_trusted: int = 30
 
     def __post_init__(self):
         if not 2 <= self.order <= 5:
             raise ValueError(f"Order must be 2 to 5: {self.order}")
+        if not 0 <= self.narrowing <= 0.5:
+            raise ValueError(f"Narrowing must be 0 to 0.5: {self.narrowing}")
 
 
 # --- texts in blocks ---
@@ -71,6 +78,7 @@ MEMBERS = ("doc_id", "lang", "key", "trusted", "symbols")
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in blocks: lists of their fields, all texts as one run of zstandard bytes."""
     squeeze, expand = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    block = TaskContext.get().partitionId() << 32
     for batch in batches:
         total = np.cumsum(batch.column("symbols").to_numpy())
         number = total // BLOCK_CHARACTERS
@@ -83,9 +91,10 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = pa.array([0, rows.num_rows], pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, rows.column(name)) for name in MEMBERS]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid4().hex]), *lists, pa.array([squeeze.compress(texts)], pa.binary())],
+                [pa.array([block]), *lists, pa.array([squeeze.compress(texts)], pa.binary())],
                 ["block", *MEMBERS, "texts"],
             )
+            block += 1
 
 
 def text_blocks(rows: DataFrame, trusted_ids: DataFrame, stages: Stages) -> DataFrame:
@@ -103,7 +112,7 @@ def text_blocks(rows: DataFrame, trusted_ids: DataFrame, stages: Stages) -> Data
         f"{name} array<{kind}>"
         for name, kind in zip(MEMBERS, (kinds["doc_id"], "string", "bigint", "boolean", "bigint"))
     )
-    blocks = marked.mapInArrow(_blocks, f"block string, {lists}, texts binary")
+    blocks = marked.mapInArrow(_blocks, f"block long, {lists}, texts binary")
     return stages(blocks, "kn-blocks")
 
 
@@ -247,7 +256,7 @@ def _counting(order: int):
 def block_grams(blocks: DataFrame, order: int, stages: Stages) -> DataFrame:
     """``block, gram, n0, n1``: the different n-grams of each block and how often trusted
     texts of each fold hold them there."""
-    schema = "block string, gram string, n0 long, n1 long"
+    schema = "block long, gram string, n0 long, n1 long"
     return stages(blocks.mapInArrow(_counting(order), schema), "kn-grams")
 
 
@@ -408,9 +417,12 @@ class QualityModel:
         return adjusted.groupBy("lang", "mean").agg(quantile.alias("threshold"))
 
     def _adjusted(self) -> Column:
-        prior = self.settings.prior
-        adjusted = (F.col("loss") + prior * F.col("mean")) / (F.col("symbols") + prior)
-        return adjusted.alias("adjusted")
+        """Logarithm of the perplexity, restated for the length that all are compared at."""
+        settings = self.settings
+        symbols = F.col("symbols") + settings.prior
+        width = F.pow(symbols / (settings.length + settings.prior), F.lit(settings.narrowing))
+        excess = (F.col("loss") - F.col("symbols") * F.col("mean")) / symbols
+        return (F.col("mean") + excess * width).alias("adjusted")
 
     def judged(self, scored: DataFrame) -> DataFrame:
         """Adds ``perplexity, threshold, accepted`` to rows with ``lang, symbols, loss``.
@@ -450,10 +462,10 @@ def quality_scores(
 
     Trusted are the documents that ``labels`` (doc_id, quality, toxic) calls good and not
     toxic; all of them are counted. A document is accepted up to the threshold of its
-    language. A null language is one of its own (written as empty); languages with few
-    trusted documents share one threshold. Null and empty texts have no perplexity and are
-    not accepted. Without any trusted text every other document is accepted. Repeated rows
-    get equal results. An empty table gives an empty result.
+    language, its perplexity restated for a common length. A null language is one of its own
+    (written as empty); languages with few trusted documents share one threshold. Null and
+    empty texts have no perplexity and are not accepted. Without any trusted text every other
+    document is accepted. Repeated rows get equal results. An empty table gives an empty result.
     """
     with Stages(docs.sparkSession) as stages:
         model = QualityModel(docs, labels, settings, stages)
