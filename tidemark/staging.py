@@ -62,6 +62,7 @@ class Stages:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.paths: list[str] = []
+        self.tables: list[str] = []
 
     def __enter__(self) -> Stages:
         return self
@@ -72,10 +73,23 @@ class Stages:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, label: str, column: str) -> DataFrame:
+        """A stage table in buckets of ``column``, as many as shuffles have partitions, so that
+        what is joined or grouped by it later moves to these rows and they stay."""
+        path, name = stage_path(self.spark, label), f"tidemark_{uuid4().hex}"
+        self.paths.append(path)
+        self.tables.append(name)
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.bucketBy(buckets, column).option("path", path).saveAsTable(name, format="parquet")
+        return self.spark.table(name)
+
     def keep(self, df: DataFrame, label: str) -> DataFrame:
         return stage(df, label)
 
     def __exit__(self, *_) -> None:
+        for name in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.tables.clear()
         for path in self.paths:
             drop_path(self.spark, path)
         self.paths.clear()
