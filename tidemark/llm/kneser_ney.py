@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
@@ -34,15 +35,16 @@ PIECE = 1_000_000
 
 @dataclass(frozen=True)
 class Quality:
-    """``order`` of the model, 2 to 5; ``quantile`` of the trusted documents' perplexities,
-    by language, up to which a document is accepted; ``prior`` symbols with the mean of the
-    language that every document counts besides its own; ``narrowing``, the power of the
-    length by which perplexities of trusted documents close in on their mean (0.5 if symbols
-    were independent of each other), so that each is restated for a text of ``length``
-    symbols before the quantile is taken; fewest trusted documents of a language for a
-    threshold of its own, which any number of languages may have."""
-
-    order: int = 5
+    """``order`` of the model, 2 to 5 (on labelled text, 4 tells toxic texts better than 5);
+    ``quantile`` of the trusted documents' perplexities, by language, up to which a document
+    is accepted; ``prior`` symbols with the mean of the language that every document counts
+    besides its own; ``narrowing``, the power of the length by which perplexities of trusted
+    documents close in on their mean (0.5 if symbols were independent of each other), so that
+    each is restated for a text of ``length`` symbols before the quantile is taken; fewest
+    trusted documents of a language for a threshold of its own, which any number of
+    languages may have."""
+
+    order: int = 4
     quantile: float = 0.98
     prior: int = 100
     narrowing: float = 0.35
@@ -59,61 +61,61 @@ class Quality:
 # --- texts in blocks ---
 
 
-def _compressed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text as zstandard bytes, and its number of characters."""
-    squeeze = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
-        texts = batch.column("text").to_pylist()
-        packed = pa.array([squeeze(text.encode()) for text in texts], pa.binary())
-        sizes = pa.array([len(text) for text in texts], pa.int64())
-        others = [batch.column(name) for name in ("doc_id", "lang", "key")]
-        yield pa.RecordBatch.from_arrays(
-            [*others, sizes, packed], ["doc_id", "lang", "key", "symbols", "packed"]
-        )
-
-
-MEMBERS = ("doc_id", "lang", "key", "trusted", "symbols")
+FIELDS = ("doc_id", "lang", "key")
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in blocks: lists of their fields, all texts as one run of zstandard bytes."""
-    squeeze, expand = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+    squeeze = zstandard.ZstdCompressor(level=3).compress
     block = TaskContext.get().partitionId() << 32
     for batch in batches:
-        total = np.cumsum(batch.column("symbols").to_numpy())
-        number = total // BLOCK_CHARACTERS
+        symbols = pc.utf8_length(batch.column("text")).cast(pa.int64())
+        number = np.cumsum(symbols.to_numpy()) // BLOCK_CHARACTERS
         edges = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
         for start, end in zip(edges, edges[1:]):
             if start == end:
                 continue
             rows = batch.slice(start, end - start)
-            texts = b"".join(expand.decompress(text.as_py()) for text in rows.column("packed"))
-            offsets = pa.array([0, rows.num_rows], pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, rows.column(name)) for name in MEMBERS]
+            columns = [*(rows.column(name) for name in FIELDS), symbols.slice(start, end - start)]
+            offsets = pa.array([0, end - start], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, column) for column in columns]
+            texts = squeeze("".join(rows.column("text").to_pylist()).encode())
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block]), *lists, pa.array([squeeze.compress(texts)], pa.binary())],
-                ["block", *MEMBERS, "texts"],
+                [pa.array([block]), *lists, pa.array([texts], pa.binary())],
+                ["block", *FIELDS, "symbols", "texts"],
             )
             block += 1
 
 
-def text_blocks(rows: DataFrame, trusted_ids: DataFrame, stages: Stages) -> DataFrame:
-    """``rows`` (doc_id, lang, text) with text hashes and trust, written in blocks."""
-    kinds = dict(rows.dtypes)
-    packed = rows.withColumn("key", F.xxhash64("text")).mapInArrow(
-        _compressed, f"doc_id {kinds['doc_id']}, lang string, key long, symbols long, packed binary"
-    )
-    # Packed texts are hashed to the labels once and not sorted.
-    marks = trusted_ids.withColumn("trusted", F.lit(True)).hint("shuffle_hash")
-    marked = packed.join(marks, "doc_id", "left").select(
-        "doc_id", "lang", "key", F.coalesce("trusted", F.lit(False)).alias("trusted"), "symbols", "packed"
+@dataclass(frozen=True)
+class Blocks:
+    """``texts`` has a row for each block, in buckets of ``block``; ``trusted`` the places in
+    it of its trusted texts, for blocks that have any."""
+
+    texts: DataFrame
+    trusted: DataFrame
+
+    def marked(self) -> DataFrame:
+        return self.texts.join(self.trusted.hint("shuffle_hash"), "block", "left")
+
+
+def text_blocks(rows: DataFrame, trusted_ids: DataFrame, stages: Stages) -> Blocks:
+    """``rows`` (doc_id, lang, text) with text hashes, written in blocks where they are read;
+    only their identifiers are shuffled to the trusted ones."""
+    kind = dict(rows.dtypes)["doc_id"]
+    lists = f"doc_id array<{kind}>, lang array<string>, key array<long>, symbols array<long>"
+    blocks = rows.withColumn("key", F.xxhash64("text")).mapInArrow(
+        _blocks, f"block long, {lists}, texts binary"
     )
-    lists = ", ".join(
-        f"{name} array<{kind}>"
-        for name, kind in zip(MEMBERS, (kinds["doc_id"], "string", "bigint", "boolean", "bigint"))
+    texts = stages.bucketed(blocks, "kn-blocks", "block")
+    members = texts.select("block", F.posexplode("doc_id").alias("place", "doc_id"))
+    # A block's rows come from one Arrow batch, which bounds the list.
+    trusted = (
+        members.join(trusted_ids, "doc_id", "left_semi")
+        .groupBy("block")
+        .agg(F.collect_list("place").alias("trusted"))
     )
-    blocks = marked.mapInArrow(_blocks, f"block long, {lists}, texts binary")
-    return stages(blocks, "kn-blocks")
+    return Blocks(texts, stages(trusted, "kn-trusted"))
 
 
 class Windows:
@@ -221,13 +223,10 @@ def _strings(grams: np.ndarray) -> list[str]:
     return [text[at : at + width] for at in range(0, len(text), width)]
 
 
-def _members(batch, place: int) -> dict[str, np.ndarray]:
-    own = {
-        name: np.asarray(batch.column(name)[place].as_py())
-        for name in ("key", "trusted", "symbols")
-    }
-    # By text, so that copies are in one fold.
-    return {**own, "fold": own["key"] % FOLDS}
+def _members(batch, place: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lengths and folds of a block's texts. Folds go by text, so that copies are in one."""
+    symbols, keys = (np.array(batch.column(name)[place].as_py(), np.int64) for name in ("symbols", "key"))
+    return symbols, keys % FOLDS
 
 
 # --- count tables ---
@@ -237,9 +236,11 @@ def _counting(order: int):
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for place in range(batch.num_rows):
-                own = _members(batch, place)
-                windows = Windows(batch.column("texts")[place].as_py(), own["symbols"], order)
-                groups = np.where(own["trusted"], own["fold"], FOLDS)
+                symbols, folds = _members(batch, place)
+                windows = Windows(batch.column("texts")[place].as_py(), symbols, order)
+                groups = np.full(len(folds), FOLDS)
+                trusted = batch.column("trusted")[place].as_py() or []
+                groups[trusted] = folds[trusted]
                 keys, totals = windows.counts(groups)
                 block = batch.column("block")[place].as_py()
                 for start in range(0, len(keys), PIECE):
@@ -253,11 +254,11 @@ def _counting(order: int):
     return count
 
 
-def block_grams(blocks: DataFrame, order: int, stages: Stages) -> DataFrame:
+def block_grams(blocks: Blocks, order: int, stages: Stages) -> DataFrame:
     """``block, gram, n0, n1``: the different n-grams of each block and how often trusted
     texts of each fold hold them there."""
     schema = "block long, gram string, n0 long, n1 long"
-    return stages(blocks.mapInArrow(_counting(order), schema), "kn-grams")
+    return stages(blocks.marked().mapInArrow(_counting(order), schema), "kn-grams")
 
 
 def count_tables(grams: DataFrame, order: int, stages: Stages) -> list[DataFrame]:
@@ -342,14 +343,14 @@ def probabilities(wanted: DataFrame, tables: list[DataFrame], stages: Stages) ->
 def _scoring(order: int):
     def score(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         batch = blocks.combine_chunks()
-        own = _members(batch, 0)
-        losses = np.zeros(len(own["fold"]))
+        symbols, folds = _members(batch, 0)
+        losses = np.zeros(len(folds))
         if answers.num_rows:
-            windows = Windows(batch.column("texts")[0].as_py(), own["symbols"], order)
+            windows = Windows(batch.column("texts")[0].as_py(), symbols, order)
             keys = windows.numbers(answers.column("gram").to_pylist())
             logs = [np.log(answers.column(f"p{fold}").to_numpy()) for fold in range(FOLDS)]
-            losses = windows.losses(keys, logs, own["fold"])
-        names = ("doc_id", "lang", "key", "symbols")
+            losses = windows.losses(keys, logs, folds)
+        names = (*FIELDS, "symbols")
         fields = [batch.column(name).combine_chunks().flatten() for name in names]
         return pa.table([*fields, pa.array(losses)], [*names, "loss"])
 
@@ -357,14 +358,14 @@ def _scoring(order: int):
 
 
 def scores(
-    blocks: DataFrame, grams: DataFrame, tables: list[DataFrame], stages: Stages
+    blocks: Blocks, grams: DataFrame, tables: list[DataFrame], stages: Stages
 ) -> DataFrame:
     """``doc_id, lang, key, symbols, loss`` of every row of the blocks."""
     model = probabilities(grams.select("gram").distinct(), tables, stages)
     answers = grams.select("block", "gram").join(model, "gram").select("block", "gram", "p0", "p1")
-    kind = dict(blocks.dtypes)["doc_id"].removeprefix("array<").removesuffix(">")
+    kind = dict(blocks.texts.dtypes)["doc_id"].removeprefix("array<").removesuffix(">")
     return (
-        blocks.groupBy("block")
+        blocks.texts.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInArrow(
             _scoring(len(tables)), f"doc_id {kind}, lang string, key long, symbols long, loss double"
