@@ -167,6 +167,8 @@ class Windows:
     def counts(self, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Different n-grams (sorted numbers) and how often each fold's trusted texts hold
         them; ``groups`` has the fold of a trusted text, ``FOLDS`` for others."""
+        if not self.size:
+            return np.empty(0, np.int64), np.empty((FOLDS, 0), np.int64)
         kind = np.full(self.size, -1, np.int8)
         for group, (start, end) in zip(groups, self.ranges):
             kind[start:end] = group
