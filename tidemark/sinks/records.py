@@ -21,6 +21,9 @@ METRICS = {
     "cmmi_artifact_completeness": "artifact_completeness",
 }
 
+#: A gzip file is read by one task: so many reports are some 0.4 GB of text.
+REPORTS_PER_FILE = 100_000
+
 
 def _long(runs: DataFrame, entries: dict[str, Column]) -> DataFrame:
     """One row per run and key, without a shuffle."""
@@ -98,8 +101,12 @@ def write_config(spark: SparkSession, settings: Settings, path: str) -> None:
 
 
 def write_report(report: DataFrame, path: str, batch: str) -> None:
-    """Add a batch of reports; writing it again leaves one copy."""
-    _replacing(report, batch).option("ignoreNullFields", False).json(path)
+    """Add a batch of reports; writing it again leaves one copy.
+
+    Most of a report's text is the same for every run, so the files are compressed. Both copies
+    are there until the new one is committed."""
+    kept = {"ignoreNullFields": False, "compression": "gzip", "maxRecordsPerFile": REPORTS_PER_FILE}
+    _replacing(report, batch).options(**kept).json(path)
 
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
